@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.llm import chat, exact_dedup, mixing, sharding
+from terracell.llm import chat, exact_dedup, mixing, secrets, sharding
 from terracell.llm.shared import documents
 
 
@@ -28,6 +28,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir))
+
+
 OP5_SQL = r"""
 WITH docs AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 rows AS (SELECT doc_id, sha256(body) AS text_sha256, body FROM docs)
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_dedup": op5_exact_dedup,
         "op9_mixing": op9_mixing,
+        "op10_secret_scans": op10_secret_scans,
     }
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: Keys in a bucket of the perfect hash, on average.
 LOAD = 4
 #: Units whose ids a worker remembers; beyond that it starts anew.
-MEMO = 200_000
+MEMO = 300_000
 
 
 class PerfectHash:
@@ -84,6 +84,10 @@ class Codec:
         self.ids = [i for _, i in ranks]
         self.hash = PerfectHash([t for t, _ in ranks])
         self.pieces = {i: t for t, i in ranks}
+        by_piece = dict(ranks)
+        self.single = [by_piece[bytes([b])] for b in range(256)]
+        # (left id, right id) of every way to cut a token into two tokens.
+        self.pairs = {by_piece[t[:c]] << 20 | by_piece[t[c:]]: i for t, i in ranks for c in range(1, len(t)) if t[:c] in by_piece and t[c:] in by_piece}
         # The vocabularies' own library takes white space as Unicode's White_Space property.
         self.pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self._ready()
@@ -91,61 +95,72 @@ class Codec:
     def _ready(self) -> None:
         self.split = regex.compile(self.pattern).findall
         self.units = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+").findall
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}  # by unit
+        self.words: dict[str, tuple[int, ...]] = {}  # by pre-token
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "units", "memo")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "units", "memo", "words")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self._ready()
 
     def rank(self, piece: bytes) -> int:
+        """Tier one: the id of a piece that is a token, or -1."""
         at = self.hash.get(piece)
         return -1 if at < 0 else self.ids[at]
 
     def merged(self, piece: bytes) -> list[int]:
-        """Tier two: ids of a pre-token that is no token."""
+        """Tier two: ids of a pre-token that is no token.
+
+        Bytes are linked both ways; a heap holds (rank, place) of pairs that
+        make a token, as one number. A popped pair is valid if its left part
+        is still there and still makes that rank with the part after it.
+        """
         n = len(piece)
-        ends = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        after = list(range(1, n + 1))
-        live = [True] * n
+        pairs = self.pairs.get
+        ids = [self.single[b] for b in piece]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
         for i in range(n - 1):
-            r = self.rank(piece[i : i + 2])
-            if r >= 0:
-                heap.append((r, i, i + 2))
+            r = pairs(ids[i] << 20 | ids[i + 1])
+            if r is not None:
+                heap.append(r << 32 | i)
         heapq.heapify(heap)
         while heap:
-            _, i, end = heapq.heappop(heap)
-            j = after[i] if live[i] else n
-            if j >= n or ends[j] != end or ends[i] != j:
-                continue  # one of the two has grown since
-            live[j], ends[i], after[i] = False, end, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                r = self.rank(piece[i : ends[after[i]]])
-                if r >= 0:
-                    heapq.heappush(heap, (r, i, ends[after[i]]))
+            top = heapq.heappop(heap)
+            r, i = top >> 32, top & 0xFFFFFFFF
+            j = after[i]
+            if ids[i] < 0 or j >= n or pairs(ids[i] << 20 | ids[j]) != r:
+                continue
+            ids[i], ids[j] = r, -1
+            j = after[i] = after[j]
+            if j < n:
+                before[j] = i
+                made = pairs(r << 20 | ids[j])
+                if made is not None:
+                    heapq.heappush(heap, made << 32 | i)
             k = before[i]
             if k >= 0:
-                r = self.rank(piece[k:end])
-                if r >= 0:
-                    heapq.heappush(heap, (r, k, end))
-        return [self.rank(piece[i : ends[i]]) for i in range(n) if live[i]]
+                made = pairs(ids[k] << 20 | r)
+                if made is not None:
+                    heapq.heappush(heap, made << 32 | k)
+        return [x for x in ids if x >= 0]
+
+    def word(self, piece: str) -> tuple[int, ...]:
+        """ids of one pre-token."""
+        known = self.words.get(piece)
+        if known is None:
+            if len(self.words) > MEMO:
+                self.words.clear()
+            raw = piece.encode()
+            r = self.rank(raw)
+            known = self.words[piece] = (r,) if r >= 0 else tuple(self.merged(raw))
+        return known
 
     def unit(self, text: str) -> tuple[int, ...]:
         """ids of a text, each match of the pattern by itself."""
-        found: list[int] = []
-        for piece in self.split(text):
-            piece = piece.encode()
-            r = self.rank(piece)
-            if r >= 0:
-                found.append(r)
-            else:
-                found.extend(self.merged(piece))
-        return tuple(found)
+        return tuple(chain.from_iterable(map(self.word, self.split(text))))
 
     def _known(self, units: list[str]) -> list[tuple[int, ...]]:
         memo = self.memo

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.llm import chat, exact_dedup, mixing, secrets, sharding
+from terracell.llm import byte_bpe, chat, exact_dedup, mixing, secrets, sharding
 from terracell.llm.shared import documents
 
 
@@ -15,6 +15,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(documents(spark, sf_dir), shards=24)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(documents(spark, sf_dir), codec), codec))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = chat.with_probe(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return chat.read_back(chat.examples(talks))
@@ -44,6 +52,7 @@ FROM rows
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_byte_bpe": op3_byte_bpe,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_dedup": op5_exact_dedup,
         "op9_mixing": op9_mixing,

@@ -1,14 +1,59 @@
-"""The corpus pipeline: stages from documents to token ids, each reading what the one before it kept."""
+"""The corpus pipeline: from documents to token ids, each stage working on what the one before it kept.
+
+Stages: documents that the toxicity model rejects go; of exact copies one
+stays; of each group of near copies (five-word shingles, similarity of 0.8 or
+more) one stays; sources are mixed to their target weights, which repeats
+documents of sources that weigh more than they hold; texts are encoded as
+byte-level BPE and decoded again.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from terracell.llm import byte_bpe, exact_dedup, mixing, ngram_join, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.clean_rows(docs, model)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_rows(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(docs, codec), codec))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
+
+#: The toxicity model and the encoder are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

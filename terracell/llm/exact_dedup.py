@@ -106,3 +106,26 @@ def dedup_decisions(df: DataFrame, key: str = "doc_id", text: str = "text", buck
         "text_sha256",
         "copy",
     )
+
+
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """df without the rows that exact deduplication drops; columns unchanged.
+
+    Only the decisions that drop a row meet the table again, by id and hash of
+    the normalised text. Repeated rows, if there are any, shrink to one.
+    """
+    judged = written(dedup_decisions(df, key, text), "dedup-judged")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+
+    dropped = written(named(judged.filter(~stays)), "dedup-dropped")
+    repeated = written(named(judged.filter(stays & (F.col("copy") > 0))), "dedup-repeated")
+    rows = df.withColumn("__text", F.sha2(normalised(text).cast("binary"), 256))
+    meets = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha"))
+    rows = rows.join(small(dropped), meets, "left_anti")
+    if not repeated.isEmpty():
+        single = rows.join(small(repeated), meets, "left_semi").dropDuplicates([key, "__text"])
+        rows = rows.join(small(repeated), meets, "left_anti").unionByName(single)
+    return rows.select(*df.columns)

@@ -30,13 +30,15 @@ from terracell.llm.shingles import U, mixed, shingle_sets
 
 #: Frequent members that parts leave out, at most: a bound on what is broadcast; any choice gives the same links.
 FREQUENT = 65_536
-#: Counts of a member in one batch below this are not reported for that list.
+#: Counts of a member in one slice below this are not reported for that list.
 REPORTED = 3
 #: Signatures that a candidate task sorts, and members that a block's owner holds, about.
 TASK_SIGNATURES = 1_500_000
 TASK_MEMBERS = 1_000_000
 #: Blocks with more members are dealt over chunks, and each pair of chunks is one task.
 BLOCK_MEMBERS = 4_000_000
+#: Text that a worker turns into sets at a time.
+SLICE_BYTES = 2 << 20
 #: Levels span three steps of size.
 STEPS = 3
 
@@ -125,6 +127,17 @@ def _sets(batch: pa.RecordBatch, column: int, words: int) -> tuple[np.ndarray, n
     return tokens, np.searchsorted(text, row, side="left"), np.searchsorted(text, row, side="right")
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a slice has SLICE_BYTES of text, or a single longer one."""
+    for batch in batches:
+        _, starts, stops = text_bytes(batch.column(column))
+        row = 0
+        while row < len(starts):
+            end = max(row + 1, int(np.searchsorted(stops, starts[row] + SLICE_BYTES, side="right")))
+            yield batch.slice(row, end - row)
+            row = end
+
+
 def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     total = np.concatenate((np.zeros(1, dtype=np.uint64), np.add.accumulate(values)))
     return (total[last] - total[first]).astype(np.int64)
@@ -132,7 +145,7 @@ def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
 
 def _describe(words: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 2):
             tokens, first, last = _sets(batch, 2, words)
             n = len(first)
             value, docs = np.unique(tokens, return_counts=True)
@@ -155,7 +168,7 @@ def _describe(words: int):
 
 def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 1):
             tokens, first, last = _sets(batch, 1, words)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [signatures(tokens[a:b], frequent, levels) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
@@ -195,8 +208,8 @@ def _meet(table: pa.Table) -> pa.Table:
 
 def _members(words: int):
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, first, last = _sets(batch, batch.num_columns - 1, words)
+        for batch in _slices(batches, 3):
+            tokens, first, last = _sets(batch, 3, words)
             packed = [tokens[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(packed, pa.binary())], names=["doc_id", "block", "chunks", "members"])
 
@@ -279,3 +292,13 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     found = docs.join(sets, ["n", "one", "two"], "left").join(reached.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("set_id"), F.col("doc_id")))
     return found.select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("set_id"), F.col("doc_id"))).alias("set_id"))
+
+
+def one_of_each(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with the document of the smallest doc_id of each near-duplicate group; columns unchanged.
+
+    Only ids of the others meet the table again. Rows with a null doc_id stay.
+    """
+    found = near_duplicates(df, words, percent, key, text)
+    others = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    return df.join(small(written(others, "ngram-others")), F.col(key) == F.col("__id"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.llm import byte_bpe, chat, exact_dedup, mixing, ngram_join, secrets, sharding
+from terracell.llm import byte_bpe, chat, exact_dedup, mixing, ngram_join, secrets, sharding, toxicity
 from terracell.llm.shared import documents
 
 
@@ -32,6 +32,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(documents(spark, sf_dir)).drop("copy")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_documents(docs, model)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf_dir), words=3, percent=90).drop("set_id")
 
@@ -59,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_toxicity": op7_toxicity,
         "op8_ngram_join": op8_ngram_join,
         "op9_mixing": op9_mixing,
         "op10_secret_scans": op10_secret_scans,

@@ -40,6 +40,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     none is above. Filling by weight up to caps is filling water: sources are
     ranked by cap over weight, the first k are full, and the level of the rest
     is what is left over their weights, for the smallest k at which it fits.
+    Beyond that k the level only falls, so it is the largest that fits.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
@@ -55,7 +56,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
         }
     )
     level = F.when(F.col("left") > 0, (F.col("budget") - F.col("full")) / F.col("left"))
-    rows = rows.withColumn("level", F.when(level <= F.col("height"), level)).withColumn("level", F.min("level").over(whole))
+    rows = rows.withColumn("level", F.when(level <= F.col("height"), level)).withColumn("level", F.max("level").over(whole))
     return rows.select("source", "source_size", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("weight"))).alias("target"))
 
 
@@ -155,7 +156,7 @@ ranked AS (
     coalesce(sum(cap) OVER w, 0) AS filled, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS remaining,
     sum(source_size) OVER ()::DOUBLE * {SHARE} AS budget
   FROM weighed WINDOW w AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-level AS (SELECT min((budget - filled) / remaining) AS level FROM ranked WHERE remaining > 0 AND (budget - filled) / remaining <= height),
+level AS (SELECT max((budget - filled) / remaining) AS level FROM ranked WHERE remaining > 0 AND (budget - filled) / remaining <= height),
 targets AS (SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * weight) END AS target FROM ranked, level),
 state0 AS (
   SELECT source, source_size, target,

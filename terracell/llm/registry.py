@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.llm import byte_bpe, chat, exact_dedup, mixing, ngram_join, secrets, sharding, toxicity
+from terracell.llm import ann, byte_bpe, chat, exact_dedup, mixing, ngram_join, secrets, sharding, toxicity, url_filter
 from terracell.llm.shared import documents
 
 
@@ -15,6 +15,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(documents(spark, sf_dir), shards=24)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +36,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(documents(spark, sf_dir)).drop("copy")
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -62,9 +71,11 @@ FROM rows
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_url_filter": op2_url_filter,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_nearest_neighbours": op6_nearest_neighbours,
         "op7_toxicity": op7_toxicity,
         "op8_ngram_join": op8_ngram_join,
         "op9_mixing": op9_mixing,

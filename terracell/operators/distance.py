@@ -111,7 +111,7 @@ def rays(cells: DataFrame, res: float, step: float, max_radius: float, tile: int
         for a, angle in enumerate(np.radians(angles)):
             open_yet = np.ones(len(own), dtype=bool)
             for k in range(1, reach + 1):
-                seen = height[np.rint(r - k * np.cos(angle)).astype(int), np.rint(c + k * np.sin(angle)).astype(int)]
+                seen = height[r + round(-k * np.cos(angle)), c + round(k * np.sin(angle))]
                 hit = ~np.isnan(seen)
                 elevation[a][hit] = np.maximum(elevation[a][hit], np.arctan2(seen[hit], k * res))
                 length[a][hit & open_yet] = min(k * res, max_radius)

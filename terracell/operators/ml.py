@@ -30,10 +30,13 @@ def train(df: DataFrame, numeric: list[str], categorical: list[str], target: str
     if missing:
         raise ValueError(f"missing columns: {missing}")
     rows = training_rows(df, [*numeric, *categorical], target)
-    rows = imputed_defaults(rows, [*numeric, target], categorical)
-    if rows.isEmpty():
-        raise ValueError("no training rows")
-    return model_pipeline(numeric, categorical, target, **params).fit(rows)
+    rows = imputed_defaults(rows, [*numeric, target], categorical).select(*numeric, *categorical, target).persist()
+    try:
+        if rows.isEmpty():
+            raise ValueError("no training rows")
+        return model_pipeline(numeric, categorical, target, **params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(df: DataFrame, model: PipelineModel, numeric: list[str], categorical: list[str], target: str = "calc_height") -> DataFrame:
@@ -49,10 +52,11 @@ def tune(df: DataFrame, numeric: list[str], categorical: list[str], target: str
     draw = random.Random(seed)
     pipeline = model_pipeline(numeric, categorical, target, seed=seed)
     trees = pipeline.getStages()[-1]
-    grids = [ParamGridBuilder().baseOn({trees.maxDepth: draw.choice([2, 3, 4])}, {trees.maxIter: draw.choice([3, 5, 8])}, {trees.stepSize: draw.choice([0.05, 0.1, 0.2])}).build()[0] for _ in range(draws)]
-    rows = imputed_defaults(training_rows(df, [*numeric, *categorical], target), [*numeric, target], categorical)
+    grids = [ParamGridBuilder().baseOn({trees.maxDepth: draw.choice([2, 3, 4]), trees.maxIter: draw.choice([3, 5, 8]), trees.stepSize: draw.choice([0.05, 0.1, 0.2])}).build()[0] for _ in range(draws)]
+    rows = imputed_defaults(training_rows(df, [*numeric, *categorical], target), [*numeric, target], categorical).select(*numeric, *categorical, target).persist()
     judge = RegressionEvaluator(labelCol=target, metricName="rmse")
     fitted = CrossValidator(estimator=pipeline, estimatorParamMaps=grids, evaluator=judge, numFolds=folds, seed=seed, parallelism=4).fit(rows)
+    rows.unpersist()
     found = [(g[trees.maxDepth], g[trees.maxIter], g[trees.stepSize], float(m)) for g, m in zip(grids, fitted.avgMetrics, strict=True)]
     return df.sparkSession.createDataFrame(found, "depth int, iterations int, rate double, rmse double")
 

@@ -57,15 +57,29 @@ def block_percent(cells: DataFrame, size: int, value: str = "v") -> DataFrame:
     return cells.groupBy(*by).agg(F.least(F.lit(100), F.floor(F.sum(value) * 100 / (size * size))).cast("int").alias("percent"))
 
 
-def focal_mean(cells: DataFrame, k: int) -> DataFrame:
-    """(row, col, v): mean of the known cells in the window of 2k + 1; two one-dimensional passes over sums and counts."""
+def completed(cells: DataFrame) -> DataFrame:
+    """cells with a row for every cell of their box; added cells have nulls and ``given`` false."""
+    box = cells.agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
+    grid = box.select(F.explode(F.sequence("r0", "r1")).alias("row"), "c0", "c1").select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
+    return grid.join(cells.withColumn("given", F.lit(True)), ["row", "col"], "left").withColumn("given", F.col("given").isNotNull())
+
+
+def focal_mean(cells: DataFrame, k: int, dense: bool = False) -> DataFrame:
+    """(row, col, v): mean of the known cells in the window of 2k + 1; two one-dimensional passes over sums and counts.
+
+    The second pass needs the first on every cell of the box, so absent cells
+    are completed; dense=True says that there are none and spares the join.
+    """
+    cells = cells.select("row", "col", "v")
+    full = cells.withColumn("given", F.lit(True)) if dense else completed(cells)
+
     def passed(df: DataFrame, along: str, across: str) -> DataFrame:
         w = Window.partitionBy(across).orderBy(along).rangeBetween(-k, k)
-        return df.select("row", "col", F.sum("s").over(w).alias("s"), F.sum("n").over(w).alias("n"))
+        return df.select("row", "col", "given", F.sum("s").over(w).alias("s"), F.sum("n").over(w).alias("n"))
 
-    start = cells.select("row", "col", F.coalesce("v", F.lit(0.0)).alias("s"), F.col("v").isNotNull().cast("long").alias("n"))
+    start = full.select("row", "col", "given", F.coalesce("v", F.lit(0.0)).alias("s"), F.col("v").isNotNull().cast("long").alias("n"))
     both = passed(passed(start, "col", "row"), "row", "col")
-    return both.select("row", "col", F.try_divide("s", "n").alias("v"))
+    return both.filter("given").select("row", "col", F.try_divide("s", "n").alias("v"))
 
 
 def disc(k: int) -> list[tuple[int, int]]:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from terracell.llm.components import components
 from terracell.llm.prefix_trie import Union, linked
 from terracell.llm.secrets import text_bytes
-from terracell.llm.shared import small, written
+from terracell.llm.shared import lean, release, slices, small, written
 from terracell.llm.shingles import U, mixed, shingle_sets
 
 #: Frequent members that parts leave out, at most: a bound on what is broadcast; any choice gives the same links.
@@ -37,8 +37,6 @@ TASK_SIGNATURES = 1_500_000
 TASK_MEMBERS = 1_000_000
 #: Blocks with more members are dealt over chunks, and each pair of chunks is one task.
 BLOCK_MEMBERS = 4_000_000
-#: Text that a worker turns into sets at a time.
-SLICE_BYTES = 2 << 20
 #: Levels span three steps of size.
 STEPS = 3
 
@@ -127,17 +125,6 @@ def _sets(batch: pa.RecordBatch, column: int, words: int) -> tuple[np.ndarray, n
     return tokens, np.searchsorted(text, row, side="left"), np.searchsorted(text, row, side="right")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that a slice has SLICE_BYTES of text, or a single longer one."""
-    for batch in batches:
-        _, starts, stops = text_bytes(batch.column(column))
-        row = 0
-        while row < len(starts):
-            end = max(row + 1, int(np.searchsorted(stops, starts[row] + SLICE_BYTES, side="right")))
-            yield batch.slice(row, end - row)
-            row = end
-
-
 def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     total = np.concatenate((np.zeros(1, dtype=np.uint64), np.add.accumulate(values)))
     return (total[last] - total[first]).astype(np.int64)
@@ -145,7 +132,7 @@ def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
 
 def _describe(words: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 2):
+        for batch in slices(batches, 2):
             tokens, first, last = _sets(batch, 2, words)
             n = len(first)
             value, docs = np.unique(tokens, return_counts=True)
@@ -163,12 +150,12 @@ def _describe(words: int):
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return describe
+    return lean(describe)
 
 
 def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 1):
+        for batch in slices(batches, 1):
             tokens, first, last = _sets(batch, 1, words)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [signatures(tokens[a:b], frequent, levels) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
@@ -184,7 +171,7 @@ def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
             packed = [(signature[a:b].tobytes(), owner[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())], names=["bucket", "signatures", "owners"])
 
-    return deal
+    return lean(deal)
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -208,12 +195,12 @@ def _meet(table: pa.Table) -> pa.Table:
 
 def _members(words: int):
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 3):
+        for batch in slices(batches, 3):
             tokens, first, last = _sets(batch, 3, words)
             packed = [tokens[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(packed, pa.binary())], names=["doc_id", "block", "chunks", "members"])
 
-    return members
+    return lean(members)
 
 
 def _owner(percent: int):
@@ -227,6 +214,8 @@ def _owner(percent: int):
             links = linked([np.frombuffer(packed[i], dtype=np.uint64) for i in rows], percent)
             a += [ids[rows[i]] for i, _ in links]
             b += [ids[rows[j]] for _, j in links]
+        del packed
+        release()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return own

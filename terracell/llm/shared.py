@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +64,43 @@ def text_or_empty(name: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+#: Text that a Python worker works on at a time.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a slice has at most so many bytes of the column, or is a single longer row."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        first, held = 0, 0
+        for row, size in enumerate(sizes.tolist()):
+            if row > first and held + size > most:
+                yield batch.slice(first, row - first)
+                first, held = row, 0
+            held += size
+        if first < batch.num_rows:
+            yield batch.slice(first)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(f: Callable) -> Callable:
+    """A function over an iterator of batches that releases its memory when it ends."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return run

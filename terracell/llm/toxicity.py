@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terracell.llm.shared import lean, slices
+
 #: The fit's bound: so many labelled documents of each class at most, the first by hash of their id, of at most so many characters.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 2_000, 4_000, 20_000
 #: Length of word pieces and, at most, of word beginnings, borders included; patterns kept, at most.
@@ -176,22 +178,24 @@ def score_documents(df: DataFrame, model: Model, key: str = "doc_id", text: str
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        for batch in batches:
+        for batch in slices(batches, 2):
             found = [model.score(t) for t in batch.column(2).fill_null("").to_pylist()]
             scores = pa.array([s for s, _ in found], pa.float64())
             where = pa.array([[{"start": a, "end": b, "score": p} for a, b, p in places] for _, places in found], kind)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores, where], names=["doc_id", "held_out", "score", "offending"])
 
     rows = df.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).cast("string").alias("text"))
-    rows = rows.mapInArrow(scored, "doc_id long, held_out boolean, score double, offending array<struct<start:int,end:int,score:double>>")
+    rows = rows.mapInArrow(lean(scored), "doc_id long, held_out boolean, score double, offending array<struct<start:int,end:int,score:double>>")
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending")
 
 
 def clean_rows(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """df without the rows whose text the model rejects; columns unchanged, nothing shuffled."""
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        return texts.fillna("").map(lambda t: model.score(t)[0])
+    at = df.columns.index(text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            yield batch.filter(pa.array([model.score(t)[0] < THRESHOLD for t in batch.column(at).fill_null("").to_pylist()], pa.bool_()))
 
-    return df.filter(scored(F.coalesce(F.col(text), F.lit(""))) < THRESHOLD)
+    return df.mapInArrow(lean(kept), df.schema)

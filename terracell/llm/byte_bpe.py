@@ -21,10 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracell.llm.shared import lean, slices
+
 #: Keys in a bucket of the perfect hash, on average.
 LOAD = 4
 #: Units whose ids a worker remembers; beyond that it starts anew.
-MEMO = 300_000
+MEMO = 150_000
 
 
 class PerfectHash:
@@ -160,6 +162,11 @@ class Codec:
 
     def unit(self, text: str) -> tuple[int, ...]:
         """ids of a text, each match of the pattern by itself."""
+        body = text[1:] if text[0] == " " else text
+        if body.isalpha() and max(body) < "\u0250":  # one run of Latin letters: the pattern would match all of it
+            return self.word(text)
+        if len(body) > 1 and body[-1] in ",." and body[:-1].isalpha() and max(body) < "\u0250":
+            return self.word(text[:-1]) + self.word(body[-1])
         return tuple(chain.from_iterable(map(self.word, self.split(text))))
 
     def _known(self, units: list[str]) -> list[tuple[int, ...]]:
@@ -167,7 +174,7 @@ class Codec:
         if len(memo) > MEMO:
             memo.clear()
         for u in set(units).difference(memo):
-            memo[u] = self.unit(u)
+            memo[u] = self.unit(u) if u else ()
         return [memo[u] for u in units]
 
     def encode(self, text: str) -> list[int]:
@@ -197,25 +204,27 @@ def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids = [np.array(codec.encode(t), dtype=np.int32) for t in batch.column(1).fill_null("").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["doc_id", "token_ids"])
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(encode, "doc_id long, token_ids array<int>")
+    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(lean(encode), "doc_id long, token_ids array<int>")
 
 
 def decode_documents(df: DataFrame, codec: Codec) -> DataFrame:
     """(doc_id, token_ids, decoded binary) from (doc_id, token_ids); null ids decode to no bytes."""
 
+    pieces = codec.pieces  # all that decoding needs
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1)
-            decoded = [codec.decode(x.values.to_numpy().tolist()) if x.is_valid else b"" for x in ids]
+            decoded = [b"".join(map(pieces.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(decoded, pa.binary())], names=["doc_id", "token_ids", "decoded"])
 
-    return df.select("doc_id", "token_ids").mapInArrow(decode, "doc_id long, token_ids array<int>, decoded binary")
+    return df.select("doc_id", "token_ids").mapInArrow(lean(decode), "doc_id long, token_ids array<int>, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -159,9 +159,9 @@ def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
             tokens, first, last = _sets(batch, 1, words)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [signatures(tokens[a:b], frequent, levels) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-            if not found:
-                continue
             sizes = [len(s) for s in found]
+            if not sum(sizes):
+                continue
             signature, owner = np.concatenate(found), np.repeat(ids, sizes)
             bucket = (((signature >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")

@@ -134,3 +134,62 @@ def utm(lon: Column, lat: Column, zone: int, south: bool = False) -> Column:
         y = y + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     scale = 0.9996 * _RADIUS
     return F.struct((F.lit(500000.0) + F.lit(scale) * x).alias("x"), (F.lit(10000000.0 if south else 0.0) + F.lit(scale) * y).alias("y"))
+
+
+#: Coefficients of the inverse series.
+_BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
+_DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
+
+
+def utm_inverse(x: Column, y: Column, zone: int, south: bool = False) -> Column:
+    """struct(lon, lat) in degrees of a position in a UTM zone."""
+    scale = F.lit(0.9996 * _RADIUS)
+    xi, eta = (y - F.lit(10000000.0 if south else 0.0)) / scale, (x - F.lit(500000.0)) / scale
+    u, v = xi, eta
+    for j, b in enumerate(_BETA, 1):
+        u = u - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        v = v - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(u) / F.cosh(v))
+    lat = chi
+    for j, d in enumerate(_DELTA, 1):
+        lat = lat + F.lit(d) * F.sin(2 * j * chi)
+    return F.struct((F.degrees(F.atan2(F.sinh(v), F.cos(u))) + F.lit(float(zone * 6 - 183))).alias("lon"), F.degrees(lat).alias("lat"))
+
+
+def polar_stereographic(lon: Column, lat: Column, lon0: float = -45.0, true_scale: float = 70.0) -> Column:
+    """struct(x, y) of the north polar stereographic projection with its latitude of true scale."""
+    e = math.sqrt(2 * _F - _F * _F)
+    ts = math.radians(true_scale)
+    t_ts = math.tan(math.pi / 4 - ts / 2) / ((1 - e * math.sin(ts)) / (1 + e * math.sin(ts))) ** (e / 2)
+    m_ts = math.cos(ts) / math.sqrt(1 - e * e * math.sin(ts) ** 2)
+    phi, lam = F.radians(lat), F.radians(lon - F.lit(lon0))
+    t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - e * F.sin(phi)) / (1 + e * F.sin(phi)), F.lit(e / 2))
+    rho = F.lit(_A * m_ts / t_ts) * t
+    return F.struct((rho * F.sin(lam)).alias("x"), (-rho * F.cos(lam)).alias("y"))
+
+
+def clip_ring(ring: Column, box: tuple) -> Column:
+    """The part of a ring inside a closed box (Sutherland and Hodgman, one side after another); empty outside.
+
+    Concave rings may keep coincident edges along the box, which add no area.
+    """
+    west, south, east, north = (F.lit(float(v)) for v in box)
+
+    def cut(points: Column, axis: str, limit: Column, keep_above: bool) -> Column:
+        def inside(p):
+            return p[axis] >= limit if keep_above else p[axis] <= limit
+
+        def meet(a, b):
+            s = F.try_divide(limit - a[axis], b[axis] - a[axis])
+            return F.struct((a["x"] + s * (b["x"] - a["x"])).alias("x"), (a["y"] + s * (b["y"] - a["y"])).alias("y"))
+
+        def side(edge):
+            a, b = edge["a"], edge["b"]
+            end = F.struct(b["x"].alias("x"), b["y"].alias("y"))
+            return F.when(inside(a) & inside(b), F.array(end)).when(inside(a), F.array(meet(a, b))).when(inside(b), F.array(meet(a, b), end)).otherwise(F.slice(F.array(end), 1, 0))
+
+        return F.flatten(F.transform(_edges(points), side))
+
+    for axis, limit, above in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
+        ring = cut(ring, axis, limit, above)
+    return ring

@@ -164,3 +164,12 @@ def with_halo(cells: DataFrame, size: int, halo: int) -> DataFrame:
 
     spread = cells.withColumn("ti", F.explode(span("row"))).withColumn("tj", F.explode(span("col")))
     return spread.withColumn("core", (F.floor(F.col("row") / size) == F.col("ti")) & (F.floor(F.col("col") / size) == F.col("tj")))
+
+
+def majority_filled(cells: DataFrame, k: int) -> DataFrame:
+    """(row, col, v): unknown cells of a categorical raster take the commonest class within k, the smallest on ties, else stay null."""
+    holes = cells.filter(F.col("v").isNull()).select("row", "col")
+    known = cells.filter(F.col("v").isNotNull()).select(F.col("row").alias("at_row"), F.col("col").alias("at_col"), F.col("v").alias("near"))
+    votes = stencil(holes, [o for o in disc(k) if o != (0, 0)]).join(known, ["at_row", "at_col"]).groupBy("row", "col", "near").agg(F.count(F.lit(1)).alias("n"))
+    best = votes.groupBy("row", "col").agg(F.min(F.struct((-F.col("n")).alias("n"), "near"))["near"].alias("v"))
+    return cells.filter(F.col("v").isNotNull()).select("row", "col", "v").unionByName(holes.join(best, ["row", "col"], "left"))

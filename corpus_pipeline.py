@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(docs, codec), codec))
+    return byte_bpe.digests(byte_bpe.encode_documents(docs, codec, decode=True))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -26,7 +26,7 @@ from terracell.llm.shared import lean, slices
 #: Keys in a bucket of the perfect hash, on average.
 LOAD = 4
 #: Units whose ids a worker remembers; beyond that it starts anew.
-MEMO = 150_000
+MEMO = 120_000
 
 
 class PerfectHash:
@@ -196,9 +196,16 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _ids_column(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)))
+
+
+def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", decode: bool = False) -> DataFrame:
     """(doc_id, token_ids array<int>) for each row of df, in whole texts; null and empty texts have no ids.
 
+    With decode=True the ids are decoded again in the same task, into a column
+    ``decoded``, which spares a second worker and a second trip of all ids.
     One narrow pass without a shuffle; repeated rows give repeated results and
     other columns are ignored.
     """
@@ -206,16 +213,17 @@ def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             ids = [np.array(codec.encode(t), dtype=np.int32) for t in batch.column(1).fill_null("").to_pylist()]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["doc_id", "token_ids"])
+            columns = {"doc_id": batch.column(0), "token_ids": _ids_column(ids)}
+            if decode:
+                columns["decoded"] = pa.array([codec.decode(x.tolist()) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(lean(encode), "doc_id long, token_ids array<int>")
+    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(lean(encode), "doc_id long, token_ids array<int>" + ", decoded binary" * decode)
 
 
 def decode_documents(df: DataFrame, codec: Codec) -> DataFrame:
     """(doc_id, token_ids, decoded binary) from (doc_id, token_ids); null ids decode to no bytes."""
-
     pieces = codec.pieces  # all that decoding needs
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(documents(spark, sf_dir), codec), codec))
+    return byte_bpe.digests(byte_bpe.encode_documents(documents(spark, sf_dir), codec, decode=True))
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,8 @@ def test_bpe_matches_the_library(spark, codec):
     got = made.collect()
     assert sorted(((r.doc_id, r.token_ids) for r in got), key=repr) == want
     assert sorted(bytes(r.decoded) for r in got) == sorted((t or "").encode() for _, t in rows)
+    both = byte_bpe.encode_documents(df, own, decode=True)
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, got))
     ids = {(r.doc_id, r.n_tokens, r.ids_sha256) for r in byte_bpe.digests(made).collect()}
     assert ids == {(i, len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for i, x in want}
     assert byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(df.limit(0), own), own)).count() == 0

@@ -5,7 +5,9 @@ builds its own graph: greedy searches from the medoid propose neighbours, and
 relaxed pruning keeps those that no kept neighbour is much closer to, so edges
 stay diverse. Inner product becomes Euclidean distance by one more component
 that gives all points the same norm. A query beams through every shard's
-graph; scores are then taken exactly, in double precision.
+graph; scores are then taken exactly, in double precision. The recall of a
+beam falls with the points of its graph, so shards have a bounded number of
+points at every size, and a search task holds a shelf of many shards.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 from terracell.llm.shared import written
 
 #: Edges of a point; beam while building and searching; relaxation in the last pass.
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 64, 1.2
-#: Points of a shard, at most, and shards that a large enough table gets at least.
-SHARD_POINTS, SHARDS = 100_000, 8
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 128, 1.2
+#: Points of a shard, on average at most; of a shelf; shelves that a large enough table gets at least.
+SHARD_POINTS, SHELF_POINTS, SHELVES = 2_000, 100_000, 8
 #: Points moved together; queries that one search task holds, about.
 BATCH, TASK_QUERIES = 256, 100_000
 NEIGHBOURS = 20
@@ -155,6 +157,7 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "dim": one.column("dim"),
+            "shelf": one.column("shelf"),
             "shard": one.column("shard"),
             "start": pa.array([start], pa.int64()),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
@@ -165,32 +168,50 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
+    """The nearest found of every query over a shelf of shards."""
     kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     if not index.num_rows or not queries.num_rows:
         return kind.empty_table()
-    dim = index.column("dim")[0].as_py()
-    vectors = np.frombuffer(index.column("vectors")[0].as_py(), dtype="<f8").reshape(-1, dim)
-    graph = np.frombuffer(index.column("graph")[0].as_py(), dtype=np.int32).reshape(len(vectors), DEGREE).astype(np.int64)
-    ids = np.frombuffer(index.column("ids")[0].as_py(), dtype=np.int64).reshape(len(vectors), NEIGHBOURS + 1)
-    points, start = _lifted(vectors), index.column("start")[0].as_py()
     asked = queries.column("query_id").to_numpy()
-    raw = queries.column("vector").to_pylist()
-    found = []
+    own = np.array([np.frombuffer(x, dtype="<f8") for x in queries.column("vector").to_pylist()])
+    none = np.iinfo(np.int64).max
+    ids, scores = np.full((len(asked), NEIGHBOURS), none), np.full((len(asked), NEIGHBOURS), -np.inf)
+    for shard in range(index.num_rows):
+        _search_shard({k: index.column(k)[shard].as_py() for k in ("dim", "start", "vectors", "graph", "ids")}, asked, own, ids, scores)
+    row, place = np.nonzero(ids != none)
+    return pa.table([asked[row], ids[row, place], scores[row, place]], schema=kind)
+
+
+def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+    """Merges a shard's nearest into ids and scores, which hold each query's NEIGHBOURS best so far."""
+    vectors = np.frombuffer(shard["vectors"], dtype="<f8").reshape(-1, shard["dim"])
+    graph = np.frombuffer(shard["graph"], dtype=np.int32).reshape(len(vectors), DEGREE).astype(np.int64)
+    held = np.frombuffer(shard["ids"], dtype=np.int64).reshape(len(vectors), NEIGHBOURS + 1)
+    points = _lifted(vectors)
     for low in range(0, len(asked), BATCH):
-        own = np.array([np.frombuffer(x, dtype="<f8") for x in raw[low : low + BATCH]])
+        some = own[low : low + BATCH]
         # The lifted query has 0 in the added component, and its scale does not matter.
-        scale = np.sqrt((points[0] ** 2).sum()) / np.sqrt((own**2).sum(1, keepdims=True))
-        targets = np.column_stack([own * scale, np.zeros(len(own))]).astype(np.float32)
-        near, _ = _greedy(points, graph, start, targets, SEARCH_BEAM)
-        for k, q in enumerate(asked[low : low + BATCH].tolist()):
-            hit = near[k][near[k] >= 0]
+        scale = np.sqrt((points[0] ** 2).sum()) / np.sqrt((some**2).sum(1, keepdims=True))
+        targets = np.column_stack([some * scale, np.zeros(len(some))]).astype(np.float32)
+        near, _ = _greedy(points, graph, shard["start"], targets, SEARCH_BEAM)
+        for k, q in enumerate(asked[low : low + BATCH].tolist(), low):
+            hit = near[k - low][near[k - low] >= 0]
             score = (vectors[hit] * own[k]).sum(1)
-            candidate, scores = ids[hit].ravel(), np.repeat(score, NEIGHBOURS + 1)
+            candidate = np.concatenate([ids[k], held[hit].ravel()])
+            found = np.concatenate([scores[k], np.repeat(score, NEIGHBOURS + 1)])
             fine = (candidate != np.iinfo(np.int64).max) & (candidate != q)
-            candidate, scores = candidate[fine], scores[fine]
-            best = np.lexsort((candidate, -scores))[:NEIGHBOURS]
-            found.append((np.full(len(best), q), candidate[best], scores[best]))
-    return pa.table([np.concatenate(x) for x in zip(*found, strict=True)], schema=kind)
+            candidate, found = candidate[fine], found[fine]
+            best = np.lexsort((candidate, -found))
+            # Rows of one id may have several vectors; equal pairs lie side by side and count once.
+            once = np.ones(len(best), dtype=bool)
+            once[1:] = (candidate[best][1:] != candidate[best][:-1]) | (found[best][1:] != found[best][:-1])
+            best = best[once][:NEIGHBOURS]
+            ids[k, : len(best)], scores[k, : len(best)] = candidate[best], found[best]
+
+
+def dealt(total: int) -> tuple[int, int]:
+    """(shelves, shards) for so many rows."""
+    return max(min(SHELVES, -(-total // 1000)), -(-total // SHELF_POINTS), 1), max(min(SHELVES, -(-total // 1000)), -(-total // SHARD_POINTS), 1)
 
 
 def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -205,16 +226,17 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     rows = df.filter(F.col(key).isNotNull() & _usable(vector)).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), is_query.alias("asks"))
     rows = written(rows, "ann-rows")
     total = rows.count()
-    shards = max(min(SHARDS, -(-total // 1000)), -(-total // SHARD_POINTS), 1)
+    shelves, shards = dealt(total)
     points = rows.select("id", "vector").mapInArrow(_packed, "vector binary, ids array<long>")
     points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shard": F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int")})
-    index = written(points.groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, start long, vectors binary, graph binary, ids binary"), "ann-index")
+    points = points.withColumn("shelf", F.pmod("shard", F.lit(shelves)).cast("int"))
+    index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, start long, vectors binary, graph binary, ids binary"), "ann-index")
 
     asked = rows.filter("asks").dropDuplicates(["id"]).select("id", "vector").mapInArrow(_binary, "query_id long, vector binary")
     parts = max(1, -(-rows.filter("asks").count() // TASK_QUERIES))
-    asked = asked.select("query_id", "vector", F.floor(F.octet_length("vector") / 8).cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
+    asked = asked.select("query_id", "vector", F.floor(F.octet_length("vector") / 8).cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
     held = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    found = held.groupBy("dim", "shard", "part").cogroup(asked.groupBy("dim", "shard", "part")).applyInArrow(_search, "query_id long, vec_id long, score double")
+    found = held.groupBy("dim", "shelf", "part").cogroup(asked.groupBy("dim", "shelf", "part")).applyInArrow(_search, "query_id long, vec_id long, score double")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(nearest))
     return ranked.filter(F.col("rank") <= NEIGHBOURS).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

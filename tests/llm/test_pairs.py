@@ -132,6 +132,24 @@ def test_neighbours(spark):
     assert ann.neighbours(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_recall_on_vectors_spread_evenly(spark):
+    v = np.random.default_rng(3).normal(size=(24_000, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, row) for k, row in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.neighbours(df, F.col("vec_id") % 240 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, 24_000, 240):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert hit / (100 * 20) >= 0.985
+    for rows in (900, 2_100, 51_282, 10**6, 10**9):
+        shelves, shards = ann.dealt(rows)
+        assert rows / shards <= 2_000 and rows / shelves <= 100_000
+
+
 def test_every_operator_is_registered():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]

@@ -1,6 +1,7 @@
 """Secrets, byte BPE, toxicity, URL filters."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -128,6 +129,37 @@ def test_url_model(spark):
     assert url_filter.filter_urls(df.limit(0)).count() == 0
 
 
+def test_url_filter_leaves_no_rare_word_or_token_out(spark):
+    filler = " ".join("filler" + "".join(chr(97 + k // 26**p % 26) for p in range(3)) for k in range(1000))
+    rows = [(k, f"http://{'casinofarm' if k % 3 else 'spam-pills'}.example.{'org' if k % 2 else 'net'}/{'es' if k % 2 else 'de'}/once{chr(97 + k % 26)}x{k}", filler) for k in range(200)]
+    rows += [(900, "http://casinofarm.test/oncebx7", "<b>casino farm</b> pills casino"), (900, "http://spampills.test/", "spam"), (901, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = url_filter.Counter(w for _, _, h in rows if h for w in re.findall("[a-z]+", re.sub("<[^>]*>", " ", h)))
+    segmenter, seen, pages = url_filter.Segmenter(counts), {}, [0, 0]
+
+    def tokens(u):
+        host, path = url_filter.parts(u)
+        words = [w for label in re.split(r"\W+", host) if label for w in segmenter.split(label)]
+        return words, [f"h:{w}" for w in words] + [f"p:#{len(t)}" if t.isdigit() else f"p:{t}" for t in re.findall(r"[a-z]+|\d+", path)]
+
+    for _, u, _ in rows:
+        ruled = url_filter.ruling(*url_filter.parts(u))
+        if ruled:
+            pages[ruled[0] == "block"] += 1
+            for t in tokens(u)[1]:
+                seen.setdefault(t, [0, 0])[ruled[0] == "block"] += 1
+    totals = [sum(c[k] for c in seen.values()) + len(seen) for k in (0, 1)]
+    want = []
+    for i, u, _ in rows:
+        words, own = tokens(u)
+        odds = math.log((pages[1] + 1) / (pages[0] + 1)) + sum(math.log((seen[t][1] + 1) / totals[1]) - math.log((seen[t][0] + 1) / totals[0]) for t in own if t in seen)
+        want.append((i, " ".join(words), round(odds, 9)))
+    assert sorted(want)[-3:] == [w for w in sorted(want) if w[0] >= 900] and {w[1] for w in want} >= {"casino farm test", "spam pills test"}
+    for options in ({}, {"held": 0, "block_labels": 2}):
+        got = url_filter.filter_urls(df, **options).collect()
+        assert sorted((r.page_id, r.words, round(r.block_odds, 9)) for r in got) == sorted(want)
+
+
 def test_segmenter_is_the_best_split():
     counts = {"bad": 50, "news": 40, "badne": 1, "ws": 2, "a": 5}
     s = url_filter.Segmenter(counts)

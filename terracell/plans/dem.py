@@ -2,30 +2,21 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracell.operators import features, raster, tin
 
-#: Road nodes that one triangulation takes; more must be cut into areas first.
-MOST_NODES = 20_000
-
 
 def road_terrain(surface: DataFrame, lines: DataFrame, res: float, north: float, nrow: int, ncol: int) -> DataFrame:
     """(row, col, v): surface minus the terrain that road ends and crossings span.
 
-    surface is (row, col, v); lines are (id, x1, y1, x2, y2). The number of
-    nodes is counted before they are gathered for the triangulation. With
-    fewer than three nodes on known cells the result is empty.
+    surface is (row, col, v); lines are (id, x1, y1, x2, y2). All nodes take
+    part, in blocks with halos. With fewer than three nodes on known cells the
+    result is empty.
     """
     ends = lines.select(F.explode(F.array(*[F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (1, 2)])).alias("p")).select("p.x", "p.y")
     nodes = ends.unionByName(features.segment_crossings(lines, 160.0).select("x", "y")).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y")).distinct()
-    seen = raster.sampled(nodes, surface, 0.0, north, res).filter(F.col("v").isNotNull()).select("x", "y", "v").orderBy("x", "y").limit(MOST_NODES + 1).toPandas()
-    if len(seen) > MOST_NODES:
-        raise ValueError(f"more than {MOST_NODES} road nodes: triangulate by area")
-    points = seen[["x", "y"]].to_numpy(dtype=float).reshape(-1, 2)
-    rows = [tuple(float(v) for k in t for v in (*points[k], seen["v"].iloc[k])) for t in tin.delaunay(np.asarray(points))]
-    schema = ", ".join(f"{a}{k} double" for k in (1, 2, 3) for a in "xyz")
-    terrain = tin.interpolated(surface.sparkSession.createDataFrame(rows, schema), 0.0, north, res, ncol, nrow)
+    seen = raster.sampled(nodes, surface, 0.0, north, res).filter(F.col("v").isNotNull()).select("x", "y", "v")
+    terrain = tin.triangulated(seen, 0.0, north, res, ncol, nrow)
     return raster.subtracted(surface, terrain).select("row", "col", F.round("v", 4).alias("v"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terracell.functions import geometry as G
 from terracell.functions.hull import hull
 from terracell.operators import distance, features, ml, raster, tin
+from terracell.plans.dem import road_terrain
 
 
 def values(df, *cols):
@@ -101,6 +102,34 @@ def test_delaunay_circles_are_empty_and_hull():
     assert hull([(0, 0), (1, 0), (1, 1), (0, 1), (0.5, 0.5), (0.5, 0)]) == [(0, 0), (1, 0), (1, 1), (0, 1)]
 
 
+def test_blocks_give_the_triangulation_of_all_nodes(spark):
+    draw = np.random.default_rng(8)
+    along = draw.random(120) * 90
+    points = np.vstack([draw.random((250, 2)) * 100, np.column_stack([along, along * 0.37 + 20]), draw.random((60, 2)) * [6, 6] + [120, 130]]).round(3)
+    points = np.unique(points, axis=0)
+    made = tin.delaunay(points)
+    u, w = points[made[:, 1]] - points[made[:, 0]], points[made[:, 2]] - points[made[:, 0]]
+    area = (u[:, 0] * w[:, 1] - u[:, 1] * w[:, 0]) / 2
+    x, y = np.array(hull([tuple(p) for p in points.tolist()])).T
+    assert (area > 0).all() and abs(area.sum() - (x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2) < 0.01
+    high = np.sin(points[:, 0] / 9) * 20 + points[:, 1] % 17
+    nodes = spark.createDataFrame([(*map(float, p), float(h)) for p, h in zip(points, high)], "x double, y double, v double")
+    rows = [tuple(float(v) for k in t for v in (*points[k], high[k])) for t in made]
+    flat = spark.createDataFrame(rows, ", ".join(f"{a}{k} double" for k in (1, 2, 3) for a in "xyz"))
+    want = {(r.row, r.col): r.v for r in tin.interpolated(flat, 0.0, 140.0, 2.5, 56, 56).collect()}
+    got = tin.triangulated(nodes, 0.0, 140.0, 2.5, 56, 56, block_nodes=25).collect()
+    assert len(got) == len(want) and all(abs(want[r.row, r.col] - r.v) < 1e-6 for r in got)
+    assert tin.triangulated(nodes.limit(2), 0.0, 140.0, 2.5, 56, 56).count() == 0
+
+
+def test_more_road_nodes_than_one_triangulation_took(spark):
+    lines = spark.range(150).selectExpr("id", "id * 2.0 + 0.5 AS x1", "0.25 AS y1", "id * 2.0 + 0.75 AS x2", "309.5 AS y2")
+    lines = lines.unionByName(spark.range(150).selectExpr("id + 1000 AS id", "0.25 AS x1", "id * 2.0 + 0.4 AS y1", "309.5 AS x2", "id * 2.0 + 0.9 AS y2"))
+    surface = spark.range(31 * 31).selectExpr("CAST(id DIV 31 AS INT) AS row", "CAST(id % 31 AS INT) AS col", "7.0D AS v")
+    got = road_terrain(surface, lines, 10.0, 310.0, 31, 31).collect()
+    assert len(got) > 800 and all(r.v is None or abs(r.v) < 1e-6 for r in got)
+
+
 def test_model_errors_and_prediction(spark):
     rows = [(float(k), "ab"[k % 2], float(k % 7 + 1) if k % 5 else None) for k in range(60)]
     df = spark.createDataFrame(rows, "area double, class string, calc_height double")

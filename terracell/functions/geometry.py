@@ -67,6 +67,22 @@ def segment_distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column
     return ex * ex + ey * ey
 
 
+def segment_box_distance2(x1: Column, y1: Column, x2: Column, y2: Column, box: tuple) -> Column:
+    """Squared distance of a segment to a closed box (west, south, east, north), of columns: 0 where they meet."""
+    west, south, east, north = box
+    corners = [(west, south), (west, north), (east, south), (east, north)]
+    sides = [(x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) for x, y in corners]
+    overlap = (F.least(x1, x2) <= east) & (F.greatest(x1, x2) >= west) & (F.least(y1, y2) <= north) & (F.greatest(y1, y2) >= south)
+    meet = overlap & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    def to_box(x, y):
+        dx, dy = F.greatest(F.lit(0.0), west - x, x - east), F.greatest(F.lit(0.0), south - y, y - north)
+        return dx * dx + dy * dy
+
+    near = [segment_distance2(x, y, x1, y1, x2, y2) for x, y in corners]
+    return F.when(meet, F.lit(0.0)).otherwise(F.least(*near, to_box(x1, y1), to_box(x2, y2)))
+
+
 def ring_distance2(ring: Column, x: Column, y: Column) -> Column:
     """Squared distance of a point to a polygon: 0 inside."""
     near = F.array_min(F.transform(_edges(ring), lambda e: segment_distance2(x, y, e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])))

@@ -40,6 +40,22 @@ def covered(df: DataFrame, west: float, north: float, res: float, ncol: int, nro
     return cells.filter(inside)
 
 
+def touched(lines: DataFrame, west: float, north: float, res: float, ncol: int, nrow: int) -> DataFrame:
+    """(row, col) of cells whose rectangle is at most ``radius`` from a line (x1, y1, x2, y2, radius): all that its buffer touches."""
+
+    def index(v: Column, most: int) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(most - 1), F.floor(v).cast("int")))
+
+    r = F.col("radius")
+    # A cell more each way: a buffer may end on a cell's border.
+    cols = F.sequence(index((F.least("x1", "x2") - r - west) / res - 1, ncol), index((F.greatest("x1", "x2") + r - west) / res + 1, ncol))
+    rows = F.sequence(index((north - F.greatest("y1", "y2") - r) / res - 1, nrow), index((north - F.least("y1", "y2") + r) / res + 1, nrow))
+    at = lines.withColumn("row", F.explode(rows)).withColumn("col", F.explode(cols))
+    left, top = west + F.col("col") * res, north - F.col("row") * res
+    d2 = G.segment_box_distance2(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), (left, top - res, left + res, top))
+    return at.filter(d2 <= r * r).select("row", "col").distinct()
+
+
 def burned(cells: DataFrame, value: Column, order: Column) -> DataFrame:
     """(row, col, v): of the features on a cell the last by order wins."""
     return cells.groupBy("row", "col").agg(F.max_by(value, order).alias("v"))

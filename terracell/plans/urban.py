@@ -114,14 +114,7 @@ class Urban:
         g, lines = self.grid, self.read("roads")
         width = features.parsed_width(F.col("width_value"))
         wide = lines.withColumn("radius", features.road_radius(width, F.col("class"), F.col("subtype"))).filter("radius > 0")
-        from terracell.functions.geometry import rectangle, segment_distance2
-
-        res = g.res / 3
-        ends = [F.col(k) for k in ("x1", "y1", "x2", "y2")]
-        box = wide.withColumn("ring", rectangle(F.least("x1", "x2") - F.col("radius") - res, F.least("y1", "y2") - F.col("radius") - res, F.greatest("x1", "x2") + F.col("radius") + res, F.greatest("y1", "y2") + F.col("radius") + res))
-        at = raster.covered(box, g.west, g.north, res, g.ncol * 3, g.nrow * 3)
-        x, y = g.west + (F.col("col") + 0.5) * res, g.north - (F.col("row") + 0.5) * res
-        hit = at.filter(segment_distance2(x, y, *ends) <= F.col("radius") * F.col("radius")).select("row", "col").distinct().withColumn("v", F.lit(1))
+        hit = raster.touched(wide, g.west, g.north, g.res / 3, g.ncol * 3, g.nrow * 3).withColumn("v", F.lit(1))
         return self.keep(raster.block_percent(hit, 3).withColumnRenamed("percent", "v"), "roads")
 
     def industrial(self) -> dict:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terracell.functions import geometry as G
 from terracell.functions.hull import hull
 from terracell.operators import distance, features, ml, raster, tin
+from terracell.plans import urban
 from terracell.plans.dem import road_terrain
 
 
@@ -122,6 +123,26 @@ def test_blocks_give_the_triangulation_of_all_nodes(spark):
     assert tin.triangulated(nodes.limit(2), 0.0, 140.0, 2.5, 56, 56).count() == 0
 
 
+def test_roads_step_burns_every_sub_cell_that_a_road_touches(spark, tmp_path):
+    roads = [(1, 2.0, 10.05, 55.0, 10.05, "footway"), (2, 3.0, 58.0, 58.0, 21.0, "footway"), (3, 31.0, 33.0, 31.0, 33.0, "residential"), (4, -20.0, 40.0, 9.0, 66.0, "footway"), (5, 200.0, 200.0, 210.0, 200.0, "motorway")]
+    lines = spark.createDataFrame(roads, "id int, x1 double, y1 double, x2 double, y2 double, class string").selectExpr("*", "'road' AS subtype", "CAST(NULL AS STRING) AS width_value")
+    lines.write.parquet(str(tmp_path / "roads"))
+    config = {"inputs": {"roads": str(tmp_path / "roads")}, "output": str(tmp_path / "out"), "grid": {"west": 0.0, "north": 60.0, "res": 10.0, "nrow": 6, "ncol": 6}}
+    urban.Urban(spark, config).roads()
+    res, t = 10 / 3, np.linspace(0, 1, 20_001)
+    hit = np.zeros((18, 18))
+    for _, x1, y1, x2, y2, kind in roads:
+        x, y, radius = x1 + t * (x2 - x1), y1 + t * (y2 - y1), {"footway": 0.5, "residential": 3, "motorway": 8}[kind]
+        for r in range(18):
+            for c in range(18):
+                dx = np.maximum(0, np.maximum(c * res - x, x - (c + 1) * res))
+                dy = np.maximum(0, np.maximum(60 - (r + 1) * res - y, y - (60 - r * res)))
+                hit[r, c] = hit[r, c] or (dx * dx + dy * dy).min() <= radius * radius
+    want = {(r, c): int(hit[3 * r : 3 * r + 3, 3 * c : 3 * c + 3].sum()) * 100 // 9 for r in range(6) for c in range(6)}
+    got = {(r.row, r.col): r.v for r in spark.read.parquet(f"{tmp_path}/out/roads").collect()}
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def test_more_road_nodes_than_one_triangulation_took(spark):
     lines = spark.range(150).selectExpr("id", "id * 2.0 + 0.5 AS x1", "0.25 AS y1", "id * 2.0 + 0.75 AS x2", "309.5 AS y2")
     lines = lines.unionByName(spark.range(150).selectExpr("id + 1000 AS id", "0.25 AS x1", "id * 2.0 + 0.4 AS y1", "309.5 AS x2", "id * 2.0 + 0.9 AS y2"))

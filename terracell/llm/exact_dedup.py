@@ -3,9 +3,10 @@
 Every text is normalised and hashed once. The directory of the index starts
 at a small depth; while a bucket holds more entries than it may, its directory
 cells double (the bucket is split by the next bit of the hash). Directory and
-entries are tables in the shared folder. Each bucket, a range of hash keys,
-belongs to one owner partition, which chains the texts that share a hash and
-compares their bytes. Only texts whose hash occurs more than once travel.
+entries are tables in the shared folder. The grouping is Spark's own: rows of
+shared hashes are grouped by hash and text, partitioned by Spark and not by a
+bucket's owner, so the directory lays the entries out but decides no result.
+Only texts whose hash occurs more than once travel.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def dedup_decisions(df: DataFrame, key: str = "doc_id", text: str = "text", buck
     hashes = written(rows.groupBy("hash").agg(F.sum("copies").alias("rows")), "dedup-hashes")
     buckets = written(directory(hashes.select("hash"), bucket_entries), "dedup-directory")
 
-    # The index: texts whose hash is shared go to the owner of their bucket.
+    # The index: texts whose hash is shared, with the bucket that their hash names.
     depths = [r["depth"] for r in buckets.select("depth").distinct().collect()]  # at most MAX_DEPTH + 1 numbers
     shared = hashes.filter(F.col("rows") > 1).select("hash")
     owned = None

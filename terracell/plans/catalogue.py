@@ -557,7 +557,7 @@ def ml_train_predict(s, d):
 def ml_tune(s, d):
     from terracell.operators import ml
 
-    return ml.tune(features.building_features(_ring(_prepared(s, d))), ["area", "min_dem"], ["subtype"], draws=2, folds=2)
+    return ml.tune(features.building_features(_ring(_prepared(s, d))), NUMERIC, CATEGORICAL, draws=30, folds=3)
 
 
 @query("SELECT name, importance::DOUBLE AS importance, row_number() OVER (ORDER BY importance DESC, name)::INT AS rank FROM (VALUES ('area', 0.31), ('min_dem', 0.22), ('obox_hw', 0.22), ('class', 0.25)) t(name, importance)")

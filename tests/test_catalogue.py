@@ -43,6 +43,15 @@ def test_runs(spark, name):
     assert catalogue.queries()[name](spark, SF).count() > 0
 
 
+def test_tuning_has_the_features_draws_and_folds_of_the_reference(spark, monkeypatch):
+    from terracell.operators import ml
+
+    seen = {}
+    monkeypatch.setattr(ml, "tune", lambda df, numeric, categorical, **options: seen.update(options, features=[*numeric, *categorical]))
+    catalogue.queries()["ml_tune"](spark, SF)
+    assert seen == {"features": [*catalogue.NUMERIC, *catalogue.CATEGORICAL], "draws": 30, "folds": 3} and len(seen["features"]) == 9
+
+
 def test_spatial_joins_are_not_nested_loops(spark):
     for name in ("segment_self_intersection", "radius_join_mean", "zonal_multi_stats", "gap_fill_idw", "canyon_width"):
         plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,8 +26,12 @@ from terracell.llm.shared import lean, slices
 
 #: Keys in a bucket of the perfect hash, on average.
 LOAD = 4
-#: Units whose ids a worker remembers; beyond that it starts anew.
+#: Pre-tokens whose ids a worker remembers in a generation; beyond that the generation before is forgotten.
 MEMO = 120_000
+#: Text that is encoded at a time: Arrow holds its units, so a slice may be larger than where Python does.
+ENCODED_BYTES = 4 << 20
+#: The first links of short pre-tokens.
+NEXT, LAST = list(range(1, 257)), list(range(-1, 255))
 
 
 class PerfectHash:
@@ -88,8 +93,18 @@ class Codec:
         self.pieces = {i: t for t, i in ranks}
         by_piece = dict(ranks)
         self.single = [by_piece[bytes([b])] for b in range(256)]
-        # (left id, right id) of every way to cut a token into two tokens.
-        self.pairs = {by_piece[t[:c]] << 20 | by_piece[t[c:]]: i for t, i in ranks for c in range(1, len(t)) if t[:c] in by_piece and t[c:] in by_piece}
+        self.first = [by_piece.get(bytes([a, b])) for a in range(256) for b in range(256)]
+        self.table = pa.array([self.pieces.get(i) for i in range(max(self.ids) + 1)], pa.binary())
+        # By left id, right id: the token of every way to cut a token into two tokens.
+        none: dict[int, int] = {}
+        self.pairs = [none] * (max(self.ids) + 1)
+        for t, i in ranks:
+            for c in range(1, len(t)):
+                left, right = by_piece.get(t[:c]), by_piece.get(t[c:])
+                if left is not None and right is not None:
+                    if self.pairs[left] is none:
+                        self.pairs[left] = {}
+                    self.pairs[left][right] = i
         # The vocabularies' own library takes white space as Unicode's White_Space property.
         self.pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self._ready()
@@ -97,11 +112,11 @@ class Codec:
     def _ready(self) -> None:
         self.split = regex.compile(self.pattern).findall
         self.units = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+").findall
-        self.memo: dict[str, tuple[int, ...]] = {}  # by unit
-        self.words: dict[str, tuple[int, ...]] = {}  # by pre-token
+        self.memo: dict[str, tuple[int, ...]] = {}  # ids by pre-token
+        self.older: dict[str, tuple[int, ...]] = {}  # the memo before this one
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "units", "memo", "words")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "units", "memo", "older")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -117,65 +132,68 @@ class Codec:
 
         Bytes are linked both ways; a heap holds (rank, place) of pairs that
         make a token, as one number. A popped pair is valid if its left part
-        is still there and still makes that rank with the part after it.
+        still makes that rank with the part after it.
         """
         n = len(piece)
-        pairs = self.pairs.get
-        ids = [self.single[b] for b in piece]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            r = pairs(ids[i] << 20 | ids[i + 1])
-            if r is not None:
-                heap.append(r << 32 | i)
+        bits = n.bit_length()
+        place = (1 << bits) - 1
+        pairs, push, pop = self.pairs, heapq.heappush, heapq.heappop
+        single, first = self.single, self.first
+        ids = [single[b] for b in piece]
+        rank = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        rank.append(None)
+        after, before = (NEXT[:n], LAST[:n]) if n <= len(NEXT) else (list(range(1, n + 1)), list(range(-1, n - 1)))
+        heap = [r << bits | i for i, r in enumerate(rank) if r is not None]
         heapq.heapify(heap)
         while heap:
-            top = heapq.heappop(heap)
-            r, i = top >> 32, top & 0xFFFFFFFF
-            j = after[i]
-            if ids[i] < 0 or j >= n or pairs(ids[i] << 20 | ids[j]) != r:
+            top = pop(heap)
+            r, i = top >> bits, top & place
+            if rank[i] != r:
                 continue
-            ids[i], ids[j] = r, -1
+            j = after[i]
+            ids[i], ids[j], rank[j] = r, -1, None
             j = after[i] = after[j]
             if j < n:
                 before[j] = i
-                made = pairs(r << 20 | ids[j])
+                made = rank[i] = pairs[r].get(ids[j])
                 if made is not None:
-                    heapq.heappush(heap, made << 32 | i)
+                    push(heap, made << bits | i)
+            else:
+                rank[i] = None
             k = before[i]
             if k >= 0:
-                made = pairs(ids[k] << 20 | r)
+                made = rank[k] = pairs[ids[k]].get(r)
                 if made is not None:
-                    heapq.heappush(heap, made << 32 | k)
+                    push(heap, made << bits | k)
         return [x for x in ids if x >= 0]
 
     def word(self, piece: str) -> tuple[int, ...]:
         """ids of one pre-token."""
-        known = self.words.get(piece)
+        known = self.memo.get(piece)
         if known is None:
-            if len(self.words) > MEMO:
-                self.words.clear()
-            raw = piece.encode()
-            r = self.rank(raw)
-            known = self.words[piece] = (r,) if r >= 0 else tuple(self.merged(raw))
+            known = self.older.get(piece)
+            if known is None:
+                raw = piece.encode()
+                r = self.rank(raw)
+                known = (r,) if r >= 0 else tuple(self.merged(raw))
+            self.memo[piece] = known
         return known
 
     def unit(self, text: str) -> tuple[int, ...]:
         """ids of a text, each match of the pattern by itself."""
         body = text[1:] if text[0] == " " else text
-        if body.isalpha() and max(body) < "\u0250":  # one run of Latin letters: the pattern would match all of it
+        if body.isalpha() and (body.isascii() or max(body) < "\u0250"):  # one run of Latin letters: the pattern would match all of it
             return self.word(text)
-        if len(body) > 1 and body[-1] in ",." and body[:-1].isalpha() and max(body) < "\u0250":
+        if len(body) > 1 and body[-1] in ",." and body[:-1].isalpha() and (body.isascii() or max(body) < "\u0250"):
             return self.word(text[:-1]) + self.word(body[-1])
         return tuple(chain.from_iterable(map(self.word, self.split(text))))
 
-    def _known(self, units: list[str]) -> list[tuple[int, ...]]:
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for u in set(units).difference(memo):
-            memo[u] = self.unit(u) if u else ()
-        return [memo[u] for u in units]
+    def known(self, units: list[str]) -> list[tuple[int, ...]]:
+        """ids of each unit; pre-tokens met lately are remembered, in two generations."""
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
+        unit, memo = self.unit, self.memo
+        return [memo.get(u) or (unit(u) if u else ()) for u in units]
 
     def encode(self, text: str) -> list[int]:
         """ids of a whole text.
@@ -190,15 +208,41 @@ class Codec:
         else:
             first, *rest = text.split(" ")
             units = [first, *[" " + u for u in rest]]
-        return list(chain.from_iterable(self._known(units)))
+        return list(chain.from_iterable(self.known(units)))
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+    def encode_column(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of all texts without nulls: text i has ids[offsets[i] : offsets[i + 1]].
 
+        Arrow cuts the texts at spaces and numbers the distinct units, so only
+        those are looked up. Texts in which two spaces meet go one by one.
+        """
+        apart = pc.match_substring(texts, "  ")
+        odd = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        cut = pc.split_pattern(pc.if_else(apart, "", texts) if len(odd) else texts, " ")
+        starts = cut.offsets.to_numpy()
+        units = cut.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+        starts = starts - starts[0]
+        code = units.indices.to_numpy().copy()
+        distinct = len(units.dictionary)
+        firsts = units.dictionary.take(units.indices.take(pa.array(starts[:-1])))  # a text's first unit has no space before it
+        table = self.known(pc.binary_join_element_wise("", units.dictionary, " ").to_pylist()) + self.known(firsts.to_pylist())
+        code[starts[:-1]] = distinct + np.arange(len(texts))
+        for i in odd.tolist():
+            table[distinct + i] = tuple(self.encode(texts[i].as_py()))
+        ends = np.cumsum(np.fromiter(map(len, table), np.int32, len(table)), dtype=np.int32)
+        flat = np.fromiter(chain.from_iterable(table), np.int32, int(ends[-1]) if len(ends) else 0)
+        laid = pa.ListArray.from_arrays(pa.array(np.concatenate((np.zeros(1, np.int32), ends))), pa.array(flat)).take(pa.array(code))
+        return laid.offsets.to_numpy()[starts], laid.values.to_numpy()
+
+    def decode_column(self, offsets: np.ndarray, ids: np.ndarray) -> pa.BinaryArray:
+        """The bytes of each text, from encode_column's form."""
+        taken = self.table.take(pa.array(ids))
+        _, ends, data = taken.buffers()
+        places = np.frombuffer(ends, np.int32)[taken.offset : taken.offset + len(taken) + 1]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(places[offsets].tobytes()), data])
 
-def _ids_column(ids: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)))
+    def decode(self, ids) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids))
 
 
 def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", decode: bool = False) -> DataFrame:
@@ -211,11 +255,11 @@ def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            ids = [np.array(codec.encode(t), dtype=np.int32) for t in batch.column(1).fill_null("").to_pylist()]
-            columns = {"doc_id": batch.column(0), "token_ids": _ids_column(ids)}
+        for batch in slices(batches, 1, ENCODED_BYTES):
+            offsets, ids = codec.encode_column(batch.column(1).fill_null(""))
+            columns = {"doc_id": batch.column(0), "token_ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
             if decode:
-                columns["decoded"] = pa.array([codec.decode(x.tolist()) for x in ids], pa.binary())
+                columns["decoded"] = codec.decode_column(offsets, ids)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -78,6 +79,20 @@ def test_bpe_matches_the_library(spark, codec):
     assert byte_bpe.digests(byte_bpe.decode_documents(byte_bpe.encode_documents(df.limit(0), own), own)).count() == 0
 
 
+def test_bpe_forgets_without_harm(codec, monkeypatch):
+    own, library = codec
+    monkeypatch.setattr(byte_bpe, "MEMO", 5)
+    draw = random.Random(11)
+    texts = ["".join(draw.choice(["the", "ing", " ", "  ", "\n", ".", ",", "qzx", "ñ", "x" * 300]) for _ in range(draw.randrange(40))) for _ in range(300)]
+    for low in range(0, 300, 60):
+        some = pa.array(["left out", *texts[low : low + 60]]).slice(1)
+        offsets, ids = own.encode_column(some)
+        decoded = own.decode_column(offsets, ids)
+        for k, t in enumerate(texts[low : low + 60]):
+            assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode_ordinary(t) == own.encode(t)
+            assert decoded[k].as_py() == t.encode()
+
+
 def test_toxicity(spark):
     draw = random.Random(5)
     plain = ["lorem", "ipsum", "dolor", "amet", "tempor", "magna", "aliqua", "veniam"]

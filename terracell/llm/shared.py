@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import ctypes
 import functools
 import gc
@@ -38,16 +40,45 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Folders of written tables that are still there; they go when the program ends.
+_left: dict[str, SparkSession] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation beyond the
-    table, and several readers do not scan the source again.
+    table, and several readers do not scan the source again. A table that only
+    feeds other written tables is given to ``discard`` after them; the rest,
+    which results read lazily, goes when the program ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/terracell/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _left[path] = spark
+    out.written_at = path
+    return out
+
+
+def _removed(path: str) -> None:
+    spark = _left.pop(path, None)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned and that nothing reads any more."""
+    for table in tables:
+        _removed(table.written_at)
+
+
+@atexit.register
+def _discard_all() -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        for path in list(_left):
+            _removed(path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,6 +89,22 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: Keys with more than this share of all rows are hot; there are fewer of them, which bounds their broadcast.
+HOT_SHARE = 1_000
+
+
+def share_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, how: str = "inner") -> DataFrame:
+    """rows joined to keyed, which has one row for each key and its number of rows, ``weight``, of ``total``.
+
+    Hot keys meet their row by broadcast, where their rows are; the others in a
+    shuffle join, where no key has more than total / HOT_SHARE rows.
+    """
+    hot = F.col("weight") * HOT_SHARE > total
+    few = F.broadcast(keyed.filter(hot).drop("weight"))
+    rest = rows.join(few.select(*on), on, "left_anti").join(keyed.filter(~hot).drop("weight"), on, how)
+    return rows.join(few, on).unionByName(rest)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -54,8 +54,8 @@ def brute_dedup(rows):
 def test_exact_dedup(spark):
     rows = [(k, f"a  b\n{k % 40}") for k in range(300)] + [(900, None), (901, ""), (902, " "), (903, "\t\n"), (None, "a b 1"), (7, "x"), (7, "x"), (None, "alone"), (None, "alone"), (904, "long " * 20000), (905, "long\n" * 20000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.lit(1)).withColumn("keep_id", F.lit("clash"))
-    for entries in (100_000, 3):
-        got = exact_dedup.dedup_decisions(df, bucket_entries=entries).collect()
+    for how in ({}, {"bucket_entries": 3}, {"fingerprint": lambda c: F.xxhash64(F.substring(c, 1, 1))}, {"bucket_entries": 2, "fingerprint": lambda c: F.xxhash64(F.length(c) % 20)}):
+        got = exact_dedup.dedup_decisions(df, **how).collect()
         assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=repr) == brute_dedup(rows)
         kept = [r.text_sha256 for r in got if r.kept]
         assert len(kept) == len(set(kept)) == len({r.text_sha256 for r in got})
@@ -64,6 +64,24 @@ def test_exact_dedup(spark):
     assert exact_dedup.dedup_decisions(df.limit(0)).count() == 0 and exact_dedup.deduplicated(df.limit(0)).count() == 0
 
 
+def test_exact_dedup_without_the_filter(spark, monkeypatch):
+    rows = [(k, f"a  {k % 400}" if k % 3 else "hot") for k in range(3000)] + [(None, ""), (1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 10)
+    for share in (100_000, 50):
+        monkeypatch.setattr(exact_dedup, "HOT_SHARE", share)
+        got = exact_dedup.dedup_decisions(df, bucket_entries=20).collect()
+        assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=repr) == brute_dedup(rows)
+
+
+def test_owners_are_ranges_of_hashes(spark):
+    buckets = exact_dedup.directory(spark.range(5000).select((F.xxhash64("id") * F.when(F.col("id") % 5 > 0, 0).otherwise(1) + F.col("id")).alias("hash")), 100)
+    cells, depth = exact_dedup.owners(buckets, 6)
+    got = sorted((r.cell, r.owner) for r in cells.collect())
+    assert [c for c, _ in got] == sorted({c for c, _ in got}) and depth == max(r.depth for r in buckets.collect())
+    assert [o for _, o in got] == sorted(o for _, o in got) and 0 <= got[0][1] and got[-1][1] <= 5
+
+
 def test_directory_splits_overfull_buckets(spark):
     hashes = spark.range(2000).select(F.xxhash64("id").alias("hash"))
     found = exact_dedup.directory(hashes, 100).collect()

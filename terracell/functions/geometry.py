@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from terracell.operators.kernels import smallest_boxes
+
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Counter-clockwise ring of a rectangle."""
@@ -111,23 +114,14 @@ def clip_segment(x1: Column, y1: Column, x2: Column, y2: Column, box: tuple) ->
     return F.when(inside & (low <= high), F.struct((x1 + low * dx).alias("x1"), (y1 + low * dy).alias("y1"), (x1 + high * dx).alias("x2"), (y1 + high * dy).alias("y2")))
 
 
-def rotated_boxes(ring: Column, step: int = 5) -> Column:
-    """array<struct(area, angle, length, width)>: the bounding box at each angle from 0 below 180 degrees."""
-    return F.transform(F.sequence(F.lit(0), F.lit(179), F.lit(step)), lambda deg: _box(ring, deg))
-
-
-def _box(ring: Column, deg: Column) -> Column:
-    cos, sin = F.cos(F.radians(deg.cast("double"))), F.sin(F.radians(deg.cast("double")))
-    u = F.transform(ring, lambda p: p["x"] * cos - p["y"] * sin)
-    v = F.transform(ring, lambda p: p["x"] * sin + p["y"] * cos)
-    length, width = F.array_max(u) - F.array_min(u), F.array_max(v) - F.array_min(v)
-    return F.struct((length * width).alias("area"), deg.alias("angle"), length.alias("length"), width.alias("width"))
+def smallest_box(ring: Column, step: int = 5) -> Column:
+    """struct(key, angle, length, width): the first bounding box of least area over angles from 0 below 180 degrees, areas (key) to 6 places."""
 
+    @F.arrow_udf("struct<key:double,angle:int,length:double,width:double>")
+    def boxes(rings: pa.Array) -> pa.Array:
+        return smallest_boxes(rings, step)
 
-def smallest_box(ring: Column, step: int = 5) -> Column:
-    """The first box of least area, areas compared to 6 places so that equal boxes tie."""
-    ranked = F.transform(rotated_boxes(ring, step), lambda b: F.struct(F.round(b["area"], 6).alias("key"), b["angle"].alias("angle"), b["length"].alias("length"), b["width"].alias("width")))
-    return F.array_min(ranked)
+    return boxes(ring)
 
 
 #: WGS 84 (fixed values) and the third-order coefficients of the Krueger series.

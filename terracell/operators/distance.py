@@ -3,41 +3,23 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracell.operators.raster import with_halo
+from terracell.operators import raster
+from terracell.operators.kernels import nearest_in_row, widest_discs
 
 
-def _nearest_in_row(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Nearest source of each cell of one raster row; g is the distance along the column to source row s (-1: none).
-
-    Looks ever farther along the row and stops when the step alone exceeds
-    every distance found. Ties go to the smaller source row, then column.
-    """
-    pdf = pdf.sort_values("col")
-    col, s = pdf["col"].to_numpy(), pdf["s"].to_numpy()
-    row = int(pdf["row"].iloc[0]) if len(pdf) else 0
-    low = int(col[0])
-    width = int(col[-1]) - low + 1
-    own = np.full(width, -1, dtype=np.int64)
+def _nearest_in_row(table: pa.Table) -> pa.Table:
+    """Nearest source of each cell of one raster row; s is the nearest source row in the cell's column (-1: none)."""
+    col, s, row = table.column("col").to_numpy(), table.column("s").to_numpy(), table.column("row").to_numpy()
+    low = int(col.min())
+    own = np.full(int(col.max()) - low + 1, -1, dtype=np.int64)
     own[col - low] = s
-    g2 = np.where(own >= 0, (own - row) ** 2, np.iinfo(np.int64).max // 4)
-    best, from_row, from_col = g2.copy(), own.copy(), np.where(own >= 0, np.arange(width), -1)
-    k = 1
-    while k < width and k * k <= best.max():
-        for shift in (-k, k):
-            at = np.arange(max(0, -shift), min(width, width - shift))
-            d, r, c = g2[at + shift] + k * k, own[at + shift], at + shift
-            wins = (r >= 0) & ((d < best[at]) | ((d == best[at]) & ((r < from_row[at]) | ((r == from_row[at]) & (c < from_col[at])))))
-            best[at[wins]], from_row[at[wins]], from_col[at[wins]] = d[wins], r[wins], c[wins]
-        k += 1
-    at = col - low
-    known = from_row[at] >= 0
-    out = pd.DataFrame({"row": pdf["row"].to_numpy(), "col": col, "d2": pd.array(np.where(known, best[at], 0), dtype="Int64"), "src_row": pd.array(from_row[at], dtype="Int64"), "src_col": pd.array(from_col[at] + low, dtype="Int64")})
-    out.loc[~known, ["d2", "src_row", "src_col"]] = pd.NA
-    return out
+    d2, from_row, from_col = (x[col - low] for x in nearest_in_row(own, int(row[0])))
+    none = from_row < 0
+    return pa.table({"row": pa.array(row, pa.int32()), "col": pa.array(col, pa.int32()), **{k: pa.array(v, pa.int64(), mask=none) for k, v in (("d2", d2), ("src_row", from_row), ("src_col", from_col + low))}})
 
 
 def nearest_source(cells: DataFrame) -> DataFrame:
@@ -48,13 +30,14 @@ def nearest_source(cells: DataFrame) -> DataFrame:
     all others.
     """
     up = Window.partitionBy("col").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("col").orderBy("row").rowsBetween(0, Window.unboundedFollowing)
+    # Backwards as well: a frame to the end of the column would be summed anew for each row.
+    down = Window.partitionBy("col").orderBy(F.desc("row")).rowsBetween(Window.unboundedPreceding, 0)
     here = F.when(F.col("src") == 1, F.col("row"))
-    above, below = F.last(here, ignorenulls=True).over(up), F.first(here, ignorenulls=True).over(down)
+    above, below = F.last(here, ignorenulls=True).over(up), F.last(here, ignorenulls=True).over(down)
     passed = cells.select("row", "col", above.alias("a"), below.alias("b"))
     nearer = F.when(F.col("a").isNull(), F.col("b")).when(F.col("b").isNull() | (F.col("row") - F.col("a") <= F.col("b") - F.col("row")), F.col("a")).otherwise(F.col("b"))
     passed = passed.select("row", "col", F.coalesce(nearer, F.lit(-1)).cast("long").alias("s"))
-    return passed.groupBy("row").applyInPandas(_nearest_in_row, "row int, col int, d2 long, src_row long, src_col long")
+    return passed.groupBy("row").applyInArrow(_nearest_in_row, "row int, col int, d2 long, src_row long, src_col long")
 
 
 def distance(cells: DataFrame, res: float = 1.0) -> DataFrame:
@@ -67,59 +50,73 @@ def allocation(cells: DataFrame, values: DataFrame) -> DataFrame:
     return nearest_source(cells).join(at, ["src_row", "src_col"], "left").select("row", "col", "v")
 
 
-def canyon_width(field: DataFrame, res: float, max_radius: float) -> DataFrame:
+def canyon_width(field: DataFrame, res: float, max_radius: float, tile: int | None = None) -> DataFrame:
     """(row, col, width, height) of street canyons from (row, col, d2, alloc).
 
     width is twice the largest clearance D(q) of a disc with |p - q| < D(q)
     that covers p (D in metres, at most max_radius); height is the mean
     allocated height over that disc. Of equal discs the first by row and
-    column counts. Discs are exploded from their centres, so the join is on
-    equal cells and a centre costs its own disc only.
+    column counts. Cells that no disc covers are left out. A tile reads a halo
+    of two radii: that of the centres that may cover its cells, and that of
+    their discs; tiles grow with the radius, so nine at most read a cell.
     """
     cap = float((max_radius / res) ** 2)
-    centres = field.filter(F.col("d2") > 0).select("row", "col", F.least(F.col("d2").cast("double"), F.lit(cap)).alias("r2"))
-    k = F.ceil(F.sqrt("r2")).cast("int")
-    span = F.sequence(-k, k)
-    spread = centres.withColumn("i", F.explode(span)).withColumn("j", F.explode(span)).filter(F.col("i") * F.col("i") + F.col("j") * F.col("j") < F.col("r2"))
-    spread = spread.select(F.col("row").alias("qr"), F.col("col").alias("qc"), "r2", (F.col("row") + F.col("i")).alias("row"), (F.col("col") + F.col("j")).alias("col"))
-    inside = spread.join(field.select("row", "col", "alloc"), ["row", "col"])
-    means = inside.groupBy("qr", "qc").agg(F.avg("alloc").alias("height"))
-    best = inside.groupBy("row", "col").agg(F.min(F.struct((-F.col("r2")).alias("m"), "qr", "qc")).alias("b"))
-    best = best.select("row", "col", (-F.col("b.m")).alias("r2"), F.col("b.qr").alias("qr"), F.col("b.qc").alias("qc"))
-    return best.join(means, ["qr", "qc"]).select("row", "col", (2 * F.sqrt("r2") * res).alias("width"), "height")
-
-
-def rays(cells: DataFrame, res: float, step: float, max_radius: float, tile: int = 64) -> DataFrame:
+    reach = int(np.ceil(max_radius / res))
+
+    def widest(columns, row, col, core):
+        r2 = raster.laid_out(np.nan_to_num(np.minimum(columns["d2"], cap), nan=0.0), row, col, 0.0)
+        present = raster.laid_out(np.ones(len(row)), row, col, 0.0) > 0
+        size, height = widest_discs(r2, raster.laid_out(columns["alloc"], row, col), present, cap)
+        at = row[core], col[core]
+        return {"width": 2 * np.sqrt(size[at]) * res, "height": height[at]}
+
+    cells = field.select("row", "col", "d2", "alloc")
+    return raster.by_tiles(cells, tile or max(raster.TILE, 2 * reach), 2 * reach, widest, "width double, height double").filter(F.col("width").isNotNull())
+
+
+def rays(cells: DataFrame, res: float, step: float, max_radius: float, tile: int | None = None) -> DataFrame:
     """(row, col, length, direction, svf) of open cells by casting rays, from (row, col, height) with height null in the open.
 
     length: the longest sum of two opposite rays to a building or max_radius;
     direction: its azimuth below 180 degrees, the smallest on ties; svf: one
     minus the mean squared sine of the highest elevation seen. Tiles read a
-    halo of max_radius, so results do not depend on the tiling.
+    halo of max_radius, so results do not depend on the tiling, and grow with
+    it, so nine at most read a cell.
     """
     reach = int(np.ceil(max_radius / res))
     angles = np.arange(0.0, 360.0, step)
+    half = len(angles) // 2
 
-    def cast(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(pdf["row"].min()) - reach, int(pdf["col"].min()) - reach
-        shape = (int(pdf["row"].max()) + reach - r0 + 1, int(pdf["col"].max()) + reach - c0 + 1)
-        height = np.full(shape, np.nan)
-        height[pdf["row"] - r0, pdf["col"] - c0] = pdf["height"].to_numpy(dtype=float, na_value=np.nan)
-        own = pdf[pdf["core"] & pdf["height"].isna()]
-        r, c = own["row"].to_numpy() - r0, own["col"].to_numpy() - c0
-        length, elevation = np.full((len(angles), len(own)), float(max_radius)), np.zeros((len(angles), len(own)))
-        for a, angle in enumerate(np.radians(angles)):
-            open_yet = np.ones(len(own), dtype=bool)
+    def cast(columns, row, col, core):
+        height = np.pad(raster.laid_out(columns["height"], row, col), reach, constant_values=np.nan)
+        open_cells = core & np.isnan(columns["height"])
+        r, c = row[open_cells] + reach, col[open_cells] + reach
+
+        def ray(angle: float) -> tuple[np.ndarray, np.ndarray]:
+            """(length, squared sine of the highest elevation) by cell."""
+            turn = np.radians(angle)
+            length, slope, open_yet = np.full(len(r), float(max_radius)), np.zeros(len(r)), np.ones(len(r), dtype=bool)
             for k in range(1, reach + 1):
-                seen = height[r + round(-k * np.cos(angle)), c + round(k * np.sin(angle))]
+                # Rounded first, so that halves are halves whatever the cosine's last digit.
+                seen = height[r + int(np.rint(np.round(-k * np.cos(turn), 9))), c + int(np.rint(np.round(k * np.sin(turn), 9)))]
                 hit = ~np.isnan(seen)
-                elevation[a][hit] = np.maximum(elevation[a][hit], np.arctan2(seen[hit], k * res))
-                length[a][hit & open_yet] = min(k * res, max_radius)
+                slope[hit] = np.maximum(slope[hit], seen[hit] / (k * res))
+                length[hit & open_yet] = min(k * res, max_radius)
                 open_yet &= ~hit
-        half = len(angles) // 2
-        both = length[:half] + length[half : 2 * half]
-        best = both.argmax(0) if len(own) else np.zeros(0, dtype=int)
-        return pd.DataFrame({"row": own["row"].to_numpy(), "col": own["col"].to_numpy(), "length": both[best, np.arange(len(own))], "direction": angles[:half][best], "svf": 1 - (np.sin(elevation) ** 2).mean(0)})
-
-    spread = with_halo(cells, tile, reach)
-    return spread.groupBy("ti", "tj").applyInPandas(cast, "row int, col int, length double, direction double, svf double")
+            return length, slope * slope / (1 + slope * slope)
+
+        best, direction, seen = np.full(len(r), -1.0), np.zeros(len(r)), np.zeros(len(r))
+        for a in range(half):
+            (ahead, one), (behind, other) = ray(angles[a]), ray(angles[half + a])
+            wins = ahead + behind > best
+            best[wins], direction[wins] = (ahead + behind)[wins], angles[a]
+            seen += one + other
+        for angle in angles[2 * half :]:
+            seen += ray(angle)[1]
+        out = {k: np.full(len(row), np.nan) for k in ("length", "direction", "svf")}
+        for k, v in (("length", best), ("direction", direction), ("svf", 1 - seen / len(angles))):
+            out[k][open_cells] = v
+        return {k: v[core] for k, v in out.items()}
+
+    found = raster.by_tiles(cells.select("row", "col", "height"), tile or max(raster.TILE, reach), reach, cast, "length double, direction double, svf double")
+    return found.filter(F.col("length").isNotNull())

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terracell.functions import geometry as G
+from terracell.operators.kernels import cells_of_rings, inverse_distance, majority
+from terracell.schema import Grid
+
+#: Cells along a tile of kernels with a small reach.
+TILE = 256
 
 
 def grid_of(extent: DataFrame, res: float) -> DataFrame:
@@ -23,21 +34,23 @@ def extent(df: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def covered(df: DataFrame, west: float, north: float, res: float, ncol: int, nrow: int, ring: str = "ring", reach: float = 0.0) -> DataFrame:
-    """df by each cell whose centre lies in the ring, or at most ``reach`` from it: adds row, col.
+    """df without its ring by each cell whose centre lies in the ring, or at most ``reach`` from it: adds row, col.
 
-    Each feature spans the cells of its box only; the ring decides those.
+    One pass in Arrow batches, nothing shuffled: each feature spans the cells
+    of its box only, and the ring decides those. Null and empty rings cover
+    nothing.
     """
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+    kept = [c for c in df.columns if c not in (ring, "row", "col")]
 
-    def index(v: Column, most: int) -> Column:
-        return F.greatest(F.lit(0), F.least(F.lit(most - 1), F.floor(v).cast("int")))
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others = batch.select(kept)
+            for feature, row, col in cells_of_rings(batch.column(batch.schema.get_field_index(ring)), west, north, res, ncol, nrow, reach):
+                found = others.take(pa.array(feature))
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.array(row, pa.int32()), pa.array(col, pa.int32())], names=[*kept, "row", "col"])
 
-    first_c, last_c = index((F.array_min(xs) - reach - west) / res, ncol), index((F.array_max(xs) + reach - west) / res, ncol)
-    first_r, last_r = index((north - F.array_max(ys) - reach) / res, nrow), index((north - F.array_min(ys) + reach) / res, nrow)
-    cells = df.withColumn("row", F.explode(F.sequence(first_r, last_r))).withColumn("col", F.explode(F.sequence(first_c, last_c)))
-    x, y = west + (F.col("col") + 0.5) * res, north - (F.col("row") + 0.5) * res
-    inside = G.contains(F.col(ring), x, y) if not reach else G.ring_distance2(F.col(ring), x, y) <= reach * reach
-    return cells.filter(inside)
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType())])
+    return df.select(*kept, ring).mapInArrow(cells, schema)
 
 
 def touched(lines: DataFrame, west: float, north: float, res: float, ncol: int, nrow: int) -> DataFrame:
@@ -98,23 +111,53 @@ def focal_mean(cells: DataFrame, k: int, dense: bool = False) -> DataFrame:
     return both.filter("given").select("row", "col", F.try_divide("s", "n").alias("v"))
 
 
-def disc(k: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(-k, k + 1) for j in range(-k, k + 1) if i * i + j * j <= k * k]
+def by_tiles(cells: DataFrame, size: int, halo: int, kernel: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """Runs a kernel over tiles of about ``size`` cells that read a halo.
+
+    kernel takes (columns, row, col, core) of a tile's cells, rows and columns
+    counted from its first; core marks those that it answers for. It returns
+    the columns of schema but for row and col, for the core cells in their
+    order. Results do not depend on the tiling if no cell's value depends on
+    others farther than the halo.
+    """
+    names = [c for c in cells.columns if c not in ("row", "col")]
+
+    def run(table: pa.Table) -> pa.Table:
+        row, col = (table.column(k).to_numpy().astype(np.int64) for k in ("row", "col"))
+        core = table.column("core").to_numpy()
+        columns = {k: pc.cast(table.column(k), pa.float64()).to_numpy() for k in names}  # null: nan
+        found = kernel(columns, row - row.min(), col - col.min(), core)
+        arrays = [pa.array(row[core], pa.int32()), pa.array(col[core], pa.int32())]
+        return pa.Table.from_arrays([*arrays, *[pa.array(v, from_pandas=True) for v in found.values()]], names=["row", "col", *found])
 
+    return with_halo(cells, size, halo).groupBy("ti", "tj").applyInArrow(run, f"row int, col int, {schema}")
 
-def stencil(cells: DataFrame, offsets: list[tuple[int, int]]) -> DataFrame:
-    """cells with (at_row, at_col, d2) for each offset: an equi-join on these is a neighbourhood join."""
-    o = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(i * i + j * j).alias("d2")) for i, j in offsets]))
-    return cells.withColumn("o", o).withColumns({"at_row": F.col("row") + F.col("o.i"), "at_col": F.col("col") + F.col("o.j"), "d2": F.col("o.d2")}).drop("o")
+
+def laid_out(values: np.ndarray, row: np.ndarray, col: np.ndarray, fill: float = np.nan) -> np.ndarray:
+    """The array of a tile's cells; ``fill`` where there is no cell."""
+    out = np.full((int(row.max()) + 1, int(col.max()) + 1), fill)
+    out[row, col] = values
+    return out
+
+
+def _filled(cells: DataFrame, k: int, rule: Callable[[np.ndarray, tuple[np.ndarray, np.ndarray], int], np.ndarray]) -> DataFrame:
+    def fill(columns, row, col, core):
+        v = columns["v"]
+        hole = core & np.isnan(v)
+        v = v.copy()
+        if hole.any():
+            v[hole] = rule(laid_out(columns["v"], row, col), (row[hole], col[hole]), k)
+        return {"v": v[core]}
+
+    return by_tiles(cells.select("row", "col", "v"), max(TILE, k), k, fill, "v double")
 
 
 def gap_filled(cells: DataFrame, k: int) -> DataFrame:
-    """(row, col, v): unknown cells take the inverse-square-distance mean of known cells within k, else stay null."""
-    holes = cells.filter(F.col("v").isNull()).select("row", "col")
-    known = cells.filter(F.col("v").isNotNull()).select(F.col("row").alias("at_row"), F.col("col").alias("at_col"), F.col("v").alias("near"))
-    near = stencil(holes, [o for o in disc(k) if o != (0, 0)]).join(known, ["at_row", "at_col"])
-    filled = near.groupBy("row", "col").agg((F.sum(F.col("near") / F.col("d2")) / F.sum(F.lit(1.0) / F.col("d2"))).alias("v"))
-    return cells.filter(F.col("v").isNotNull()).select("row", "col", "v").unionByName(holes.join(filled, ["row", "col"], "left"))
+    """(row, col, v): unknown cells take the inverse-square-distance mean of known cells within k, else stay null.
+
+    Tiles grow with k, so a cell is read by at most nine of them.
+    """
+    return _filled(cells, k, inverse_distance)
 
 
 def masked(cells: DataFrame, mask: DataFrame, invert: bool = True) -> DataFrame:
@@ -137,23 +180,70 @@ def subtracted(a: DataFrame, b: DataFrame, row_shift: int = 0, col_shift: int =
     return a.join(moved, ["row", "col"]).filter(F.col("v").isNotNull() & F.col("w").isNotNull()).select("row", "col", (F.col("v") - F.col("w")).alias("v"))
 
 
+def _nearest(p: Column) -> list[tuple[Column, Column]]:
+    return [(F.floor(p + 0.5).cast("int"), F.lit(1.0))]
+
+
+def _bilinear(p: Column) -> list[tuple[Column, Column]]:
+    return [((F.floor(p) + k).cast("int"), 1 - F.abs(p - (F.floor(p) + k))) for k in (0, 1)]
+
+
+def _cubic(p: Column) -> list[tuple[Column, Column]]:
+    """Cubic convolution with a = -1/2 over four cells."""
+
+    def weight(d: Column) -> Column:
+        return F.when(d < 1, (1.5 * d - 2.5) * d * d + 1).otherwise(((-0.5 * d + 2.5) * d - 4) * d + 2)
+
+    return [((F.floor(p) + k).cast("int"), weight(F.abs(p - (F.floor(p) + k)))) for k in (-1, 0, 1, 2)]
+
+
+METHODS = {"nearest": _nearest, "bilinear": _bilinear, "cubic": _cubic}
+
+
+def sampled_at(places: DataFrame, cells: DataFrame, method: str = "nearest") -> DataFrame:
+    """(row, col, v) of places (row, col, y, x), where y and x are positions in cells, whole at cell centres.
+
+    Each place meets the cells that its method weighs in one equi-join; the
+    weights of unknown cells are shared out among the known. Cubic results
+    stay between the least and the greatest cell weighed. Other methods than
+    nearest, bilinear and cubic raise ValueError.
+    """
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}; known are {', '.join(METHODS)}")
+    source = cells.filter(F.col("v").isNotNull()).select(F.col("row").alias("sr"), F.col("col").alias("sc"), F.col("v").alias("v"))
+    rows, cols = METHODS[method](F.col("y")), METHODS[method](F.col("x"))
+    if method == "nearest":
+        return places.select("row", "col", rows[0][0].alias("sr"), cols[0][0].alias("sc")).join(source, ["sr", "sc"], "left").select("row", "col", "v")
+    near = F.array(*[F.struct(i.alias("sr"), j.alias("sc"), (a * b).alias("w")) for i, a in rows for j, b in cols])
+    near = F.filter(near, lambda c: c["w"] != 0)
+    joined = places.select("row", "col", F.explode(near).alias("c")).select("row", "col", "c.*").join(source, ["sr", "sc"], "left")
+    w = F.when(F.col("v").isNotNull(), F.col("w"))
+    found = joined.groupBy("row", "col").agg(F.sum(w).alias("weights"), F.sum(w * F.col("v")).alias("sum"), F.min("v").alias("least"), F.max("v").alias("most"))
+    value = F.try_divide("sum", "weights")
+    if method == "cubic":
+        # Weights that are left may cancel out.
+        value = F.when(F.abs("weights") > 1e-9, F.greatest("least", F.least("most", value)))
+    return found.select("row", "col", value.alias("v"))
+
+
 def resampled(cells: DataFrame, targets: DataFrame, scale: float, method: str = "nearest") -> DataFrame:
-    """(row, col, v) on the target cells, ``scale`` source cells each; unknown methods count as nearest.
+    """(row, col, v) on the target cells, ``scale`` source cells each, by the methods of ``sampled_at``."""
+    y, x = (F.col("row") + 0.5) * scale - 0.5, (F.col("col") + 0.5) * scale - 0.5
+    return sampled_at(targets.select("row", "col", y.alias("y"), x.alias("x")), cells, method)
+
+
+def reprojected(cells: DataFrame, source: Grid, target: Grid, inverse: Callable[[Column, Column], Column], method: str = "nearest") -> DataFrame:
+    """(row, col, v) on the target grid. ``inverse`` maps (x, y) of the target's reference system to struct(x, y) of the source's.
 
-    Target centres map back into the source: nearest joins the cell they fall
-    in; bilinear joins the four around and weighs those that are known.
+    Only target cells whose centre falls on the source grid are joined; the
+    others are null.
     """
-    y, x = (F.col("row") + 0.5) * scale, (F.col("col") + 0.5) * scale
-    source = cells.filter(F.col("v").isNotNull()).select(F.col("row").alias("sr"), F.col("col").alias("sc"), "v")
-    if method != "bilinear":
-        at = targets.select("row", "col", F.floor(y).cast("int").alias("sr"), F.floor(x).cast("int").alias("sc"))
-        return at.join(source, ["sr", "sc"], "left").select("row", "col", "v")
-    at = targets.select("row", "col", (y - 0.5).alias("y"), (x - 0.5).alias("x"))
-    corner = F.explode(F.array(*[F.struct((F.floor("y") + i).cast("int").alias("sr"), (F.floor("x") + j).cast("int").alias("sc")) for i in (0, 1) for j in (0, 1)]))
-    at = at.withColumn("c", corner).select("row", "col", "y", "x", "c.sr", "c.sc")
-    weight = (1 - F.abs(F.col("y") - F.col("sr"))) * (1 - F.abs(F.col("x") - F.col("sc")))
-    joined = at.join(source, ["sr", "sc"], "left").withColumn("w", F.when(F.col("v").isNotNull(), weight))
-    return joined.groupBy("row", "col").agg(F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w")).alias("v"))
+    spark = cells.sparkSession
+    grid = spark.range(target.nrow * target.ncol).select(F.floor(F.col("id") / target.ncol).cast("int").alias("row"), (F.col("id") % target.ncol).cast("int").alias("col"))
+    x, y = target.west + (F.col("col") + 0.5) * target.res, target.north - (F.col("row") + 0.5) * target.res
+    at = grid.select("row", "col", inverse(x, y).alias("p")).select("row", "col", ((F.lit(source.north) - F.col("p.y")) / source.res - 0.5).alias("y"), ((F.col("p.x") - F.lit(source.west)) / source.res - 0.5).alias("x"))
+    on = F.col("y").between(-0.5, source.nrow - 0.5) & F.col("x").between(-0.5, source.ncol - 0.5)
+    return sampled_at(at.filter(on), cells, method).unionByName(at.filter(~on | on.isNull()).select("row", "col", F.lit(None).cast("double").alias("v")))
 
 
 def multiband(template: DataFrame, bands: dict[str, DataFrame], nodata: float = -1.0) -> DataFrame:
@@ -184,8 +274,4 @@ def with_halo(cells: DataFrame, size: int, halo: int) -> DataFrame:
 
 def majority_filled(cells: DataFrame, k: int) -> DataFrame:
     """(row, col, v): unknown cells of a categorical raster take the commonest class within k, the smallest on ties, else stay null."""
-    holes = cells.filter(F.col("v").isNull()).select("row", "col")
-    known = cells.filter(F.col("v").isNotNull()).select(F.col("row").alias("at_row"), F.col("col").alias("at_col"), F.col("v").alias("near"))
-    votes = stencil(holes, [o for o in disc(k) if o != (0, 0)]).join(known, ["at_row", "at_col"]).groupBy("row", "col", "near").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("row", "col").agg(F.min(F.struct((-F.col("n")).alias("n"), "near"))["near"].alias("v"))
-    return cells.filter(F.col("v").isNotNull()).select("row", "col", "v").unionByName(holes.join(best, ["row", "col"], "left"))
+    return _filled(cells, k, majority)

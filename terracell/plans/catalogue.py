@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terracell.functions import geometry as G
 from terracell.operators import distance, features, raster, tin
 from terracell.plans import fixtures as X
+from terracell.schema import Grid
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -324,6 +325,22 @@ def road_coverage(s, d):
     return raster.block_percent(hit, 3)
 
 
+# The same sub-cells by what a buffer touches: a road's capsule and a sub-cell's rectangle meet if they cross or are near enough.
+@query(ROAD_SQL + """, sub AS (SELECT r.i AS sr, c.i AS sc, c.i*10/3.0 AS west, (c.i+1)*10/3.0 AS east, 640-(r.i+1)*10/3.0 AS south, 640-r.i*10/3.0 AS north FROM range(192) r(i), range(192) c(i)),
+ pair AS (SELECT sub.*, b.x1, b.y1, b.x2, b.y2, b.radius FROM sub JOIN buffered b ON b.radius>0 AND least(b.x1, b.x2)-b.radius<=east+1 AND greatest(b.x1, b.x2)+b.radius>=west-1 AND least(b.y1, b.y2)-b.radius<=north+1 AND greatest(b.y1, b.y2)+b.radius>=south-1),
+ ends AS (SELECT *, greatest(0, west-x1, x1-east)**2+greatest(0, south-y1, y1-north)**2 AS e1, greatest(0, west-x2, x2-east)**2+greatest(0, south-y2, y2-north)**2 AS e2,
+ [(x2-x1)*(south-y1)-(y2-y1)*(west-x1), (x2-x1)*(north-y1)-(y2-y1)*(west-x1), (x2-x1)*(south-y1)-(y2-y1)*(east-x1), (x2-x1)*(north-y1)-(y2-y1)*(east-x1)] AS sides FROM pair),
+ corner AS (SELECT *, unnest([{'x': west, 'y': south}, {'x': west, 'y': north}, {'x': east, 'y': south}, {'x': east, 'y': north}]) AS p FROM ends),
+ near AS (SELECT *, CASE WHEN x1=x2 AND y1=y2 THEN 0 ELSE greatest(0, least(1, ((p.x-x1)*(x2-x1)+(p.y-y1)*(y2-y1))/((x2-x1)**2+(y2-y1)**2))) END AS t FROM corner),
+ hit AS (SELECT DISTINCT sr, sc FROM near WHERE least(e1, e2, (p.x-x1-t*(x2-x1))**2+(p.y-y1-t*(y2-y1))**2)<=radius*radius
+ OR (least(x1, x2)<=east AND greatest(x1, x2)>=west AND least(y1, y2)<=north AND greatest(y1, y2)>=south AND list_min(sides)<=0 AND list_max(sides)>=0))
+ SELECT (sr//3)::INT AS row, (sc//3)::INT AS col, least(100, floor(count(*)*100/9))::INT AS percent FROM hit GROUP BY 1, 2""")
+def road_coverage_touched(s, d):
+    lines = _buffered(s, d).filter(F.col("radius") > 0)
+    hit = raster.touched(lines, 0.0, 640.0, 10 / 3, 192, 192).withColumn("v", F.lit(1))
+    return raster.block_percent(hit, 3)
+
+
 @query("SELECT (row//3)::INT AS row, (col//3)::INT AS col, least(100, floor(sum(bmask)*100/9))::INT AS percent FROM cells GROUP BY 1, 2")
 def block_percent(s, d):
     return raster.block_percent(_cells(s, d), 3, "bmask")
@@ -454,6 +471,26 @@ def resample_bilinear(s, d):
     return raster.resampled(_cells(s, d), _targets(s), 1.6, "bilinear").select("row", "col", F.round("v", 6).alias("v"))
 
 
+@query(TARGETS + """, wgt AS (SELECT t.row, t.col, c.v, abs(t.y-.5-c.row) AS dy, abs(t.x-.5-c.col) AS dx FROM tgt t LEFT JOIN cells c ON c.v IS NOT NULL AND c.row BETWEEN floor(t.y-.5)-1 AND floor(t.y-.5)+2 AND c.col BETWEEN floor(t.x-.5)-1 AND floor(t.x-.5)+2),
+ k AS (SELECT row, col, v, (CASE WHEN dy<1 THEN (1.5*dy-2.5)*dy*dy+1 ELSE ((-.5*dy+2.5)*dy-4)*dy+2 END)*(CASE WHEN dx<1 THEN (1.5*dx-2.5)*dx*dx+1 ELSE ((-.5*dx+2.5)*dx-4)*dx+2 END) AS w FROM wgt)
+ SELECT row, col, round(CASE WHEN abs(sum(w))>1e-9 THEN greatest(min(v) FILTER (w<>0), least(max(v) FILTER (w<>0), sum(w*v)/sum(w))) END, 6) AS v FROM k GROUP BY 1, 2""")
+def resample_cubic(s, d):
+    return raster.resampled(_cells(s, d), _targets(s), 1.6, "cubic").select("row", "col", F.round("v", 6).alias("v"))
+
+
+# Cells of a quarter degree, north-up from (85.5 E, 31 N), seen from a grid of 20 km in UTM zone 45, by the inverse series as published.
+@query(f"""SELECT t.row, t.col, c.v FROM (SELECT row, col, degrees(atan2(sinh(v), cos(u)))+87 AS lon, degrees(chi+{"+".join(f"{x:.17e}*sin({2 * j}*chi)" for j, x in enumerate(G._DELTA, 1))}) AS lat FROM (SELECT *, asin(sin(u)/cosh(v)) AS chi FROM (
+ SELECT row, col, xi-({"+".join(f"{x:.17e}*sin({2 * j}*xi)*cosh({2 * j}*eta)" for j, x in enumerate(G._BETA, 1))}) AS u, eta-({"+".join(f"{x:.17e}*cos({2 * j}*xi)*sinh({2 * j}*eta)" for j, x in enumerate(G._BETA, 1))}) AS v FROM (
+ SELECT r.i::INT AS row, c.i::INT AS col, (3400000-(r.i+.5)*20000)/{0.9996 * G._RADIUS:.17e} AS xi, (400000+(c.i+.5)*20000-500000)/{0.9996 * G._RADIUS:.17e} AS eta FROM range(60) r(i), range(40) c(i))))) t
+ LEFT JOIN cells c ON c.row=floor((31-lat)/0.25) AND c.col=floor((lon-85.5)/0.25)""")
+def reproject_nearest(s, d):
+    def inverse(x, y):
+        p = G.utm_inverse(x, y, 45)
+        return F.struct(p["lon"].alias("x"), p["lat"].alias("y"))
+
+    return raster.reprojected(_cells(s, d), Grid(85.5, 31.0, 0.25, 64, 64, 4326), Grid(400000.0, 3400000.0, 20000.0, 60, 40), inverse)
+
+
 @query("SELECT row, col, coalesce(v, -1) AS height, lcz::DOUBLE AS lcz, bmask::DOUBLE AS mask, CASE WHEN row%2=0 THEN row::DOUBLE ELSE -1 END AS even FROM cells")
 def multiband_assemble(s, d):
     c = _cells(s, d)
@@ -506,10 +543,17 @@ def canyon_width(s, d):
     return distance.canyon_width(_field(s, d), 5.0, 30.0).select("row", "col", F.round("width", 6).alias("width"), F.round("height", 6).alias("height"))
 
 
-@query()
+@query(""", hgt AS (SELECT row, col, CASE WHEN src=1 THEN (row%9+3)::DOUBLE END AS height FROM dense), ang AS (SELECT (i*10)::DOUBLE AS a FROM range(36) t(i)),
+ step AS (SELECT a, k.i::INT AS k, round_even(round(-k.i*cos(radians(a)), 9), 0)::INT AS dr, round_even(round(k.i*sin(radians(a)), 9), 0)::INT AS dc FROM ang, range(1, 13) k(i)),
+ seen AS (SELECT h.row, h.col, s.a, min(CASE WHEN b.height IS NOT NULL THEN least(s.k*5.0, 60.0) END) AS hit, max(b.height/(s.k*5.0)) AS slope
+ FROM hgt h CROSS JOIN step s LEFT JOIN hgt b ON b.row=h.row+s.dr AND b.col=h.col+s.dc WHERE h.height IS NULL GROUP BY 1, 2, 3),
+ ray AS (SELECT row, col, a, coalesce(hit, 60.0) AS len, coalesce(slope*slope/(1+slope*slope), 0) AS sin2 FROM seen),
+ sky AS (SELECT row, col, 1-avg(sin2) AS svf FROM ray GROUP BY 1, 2),
+ both_ways AS (SELECT x.row, x.col, x.a, x.len+y.len AS length, row_number() OVER (PARTITION BY x.row, x.col ORDER BY x.len+y.len DESC, x.a) AS n FROM ray x JOIN ray y ON x.row=y.row AND x.col=y.col AND y.a=x.a+180)
+ SELECT b.row, b.col, b.length, b.a AS direction, round(s.svf, 9) AS svf FROM both_ways b JOIN sky s ON s.row=b.row AND s.col=b.col WHERE n=1""")
 def canyon_rays(s, d):
     cells = X.dense(s, d).select("row", "col", F.when(F.col("src") == 1, (F.col("row") % 9 + 3).cast("double")).alias("height"))
-    return distance.rays(cells, 5.0, 10.0, 60.0, tile=32)
+    return distance.rays(cells, 5.0, 10.0, 60.0, tile=32).withColumn("svf", F.round("svf", 9))
 
 
 @query(""", t AS (SELECT i, i//8*8 AS r, i%8*8 AS c FROM range(64) t(i)), g AS (SELECT a.i::INT AS row, b.i::INT AS col FROM range(64) a(i), range(64) b(i))

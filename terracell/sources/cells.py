@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import struct
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.schema import Grid
-
 TILE = 512
 
 
@@ -43,34 +39,3 @@ def read_many(spark: SparkSession, pattern: str) -> list[DataFrame]:
 def with_sentinels(df: DataFrame, nodata: float, *bands: str) -> DataFrame:
     """Nulls of the bands as the sentinel, for a sink that has no null."""
     return reduce(lambda d, b: d.withColumn(b, F.coalesce(F.col(b).cast("double"), F.lit(float(nodata)))), bands, df)
-
-
-def to_geotiff(df: DataFrame, path: str, grid: Grid, bands: list[str], nodata: float = -1.0, most: int = 50_000_000) -> None:
-    """Writes a small raster as an uncompressed float32 GeoTIFF on the driver; larger grids raise ValueError."""
-    if grid.nrow * grid.ncol * len(bands) > most:
-        raise ValueError("the raster is too large for one file on the driver: write cells instead")
-    data = np.full((grid.nrow, grid.ncol, len(bands)), nodata, dtype="<f4")
-    for batch in with_sentinels(df.select("row", "col", *bands), nodata, *bands).toLocalIterator():
-        data[batch["row"], batch["col"]] = [batch[b] for b in bands]
-    raw, text = data.tobytes(), f"{nodata:g}\0".encode()
-    pixel, tie = struct.pack("<3d", grid.res, grid.res, 0), struct.pack("<6d", 0, 0, 0, grid.west, grid.north, 0)
-    keys = struct.pack("<16H", 1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, grid.epsg)
-    n = len(bands)
-    extra: list[tuple[int, int, int, bytes]] = [
-        (256, 4, 1, struct.pack("<I", grid.ncol)), (257, 4, 1, struct.pack("<I", grid.nrow)), (258, 3, n, struct.pack(f"<{n}H", *[32] * n)),
-        (259, 3, 1, struct.pack("<H", 1)), (262, 3, 1, struct.pack("<H", 1)), (273, 4, 1, b"DATA"), (277, 3, 1, struct.pack("<H", n)),
-        (278, 4, 1, struct.pack("<I", grid.nrow)), (279, 4, 1, struct.pack("<I", len(raw))), (339, 3, n, struct.pack(f"<{n}H", *[3] * n)),
-        (33550, 12, 3, pixel), (33922, 12, 6, tie), (34735, 3, 16, keys), (42113, 2, len(text), text),
-    ]
-    at = 8 + 2 + 12 * len(extra) + 4
-    entries, blob = b"", b""
-    start = at + sum(len(v) + len(v) % 2 for _, _, _, v in extra if len(v) > 4)
-    for tag, kind, count, value in extra:
-        value = struct.pack("<I", start) if value == b"DATA" else value
-        if len(value) <= 4:
-            entries += struct.pack("<HHI", tag, kind, count) + value.ljust(4, b"\0")
-        else:
-            entries += struct.pack("<HHII", tag, kind, count, at + len(blob))
-            blob += value + b"\0" * (len(value) % 2)
-    with open(path, "wb") as f:
-        f.write(struct.pack("<2sHI", b"II", 42, 8) + struct.pack("<H", len(extra)) + entries + struct.pack("<I", 0) + blob + raw)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from terracell.functions import geometry as G
 from terracell.plans import steps, urban
+from terracell.sources import store
 
 
 def test_resume_and_cli(tmp_path, capsys):
@@ -17,6 +18,7 @@ def test_resume_and_cli(tmp_path, capsys):
     args = ["--config", str(tmp_path / "c.yaml"), "--manifest", str(tmp_path / "m.json")]
     steps.main([*args, "--only-step", "3"], None, registry)
     assert ran == ["canyon_width"]
+    capsys.readouterr()
     assert steps.main([*args, "--status"], None, registry)["next"] == 5
     assert json.loads(capsys.readouterr().out)["completed"][0]["step"] == 1
     assert steps.main(args, None, registry)["is_complete"]
@@ -24,8 +26,36 @@ def test_resume_and_cli(tmp_path, capsys):
     steps.main([*args, "--range", "3-5"], None, registry)
     steps.main([*args, "--steps", "1,2"], None, registry)
     assert ran == [*steps.STEPS[2:5], *steps.STEPS[:2]]
-    steps.main([*args, "--reset", "--start-from", "18"], None, registry)
+    steps.main([*args, "--reset", "--start-from", "18", "--log", str(tmp_path / "run.log")], None, registry)
     assert ran[-2:] == steps.STEPS[17:]
+    assert "step 19: multiband" in (tmp_path / "run.log").read_text() and "step 19: multiband" in capsys.readouterr().out
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    assert steps.find_config("c.yaml", str(tmp_path / "a" / "b")) == str(tmp_path / "c.yaml") and steps.find_config("none.yaml", str(tmp_path)) is None
+    steps.log.handlers.clear()
+
+
+def test_a_step_whose_output_is_not_whole_runs_again(spark, tmp_path):
+    path, ran = (tmp_path / "m.json").as_uri(), []
+
+    def step(name):
+        def run(session, config, outputs):
+            ran.append(name)
+            session.range(3).write.mode("overwrite").parquet(str(tmp_path / name))
+            return {name: str(tmp_path / name)}
+
+        return run
+
+    registry = {name: step(name) for name in steps.STEPS}
+    steps.run_pipeline(spark, {}, registry, steps.Manifest.load(path, spark), end=3)
+    assert ran == steps.STEPS[:3]
+    (tmp_path / steps.STEPS[1] / "_SUCCESS").unlink()
+    again = steps.Manifest.load(path, spark)
+    assert again.first_open() == 4
+    steps.run_pipeline(spark, {}, registry, again, end=3)
+    assert ran == [*steps.STEPS[:3], *steps.STEPS[1:3]] and steps.Manifest.load(path, spark).first_open() == 4
+    assert store.first_known(spark, None, str(tmp_path / "none"), str(tmp_path / steps.STEPS[0])) == str(tmp_path / steps.STEPS[0])
+    again.reset()
+    assert steps.Manifest.load(path, spark).outputs == {} and store.first_known(spark, path) is None
 
 
 def test_all_nineteen_steps(spark, tmp_path):
@@ -49,7 +79,7 @@ def test_all_nineteen_steps(spark, tmp_path):
         inputs[name] = str(tmp_path / "in" / name)
         df.write.parquet(inputs[name])
     config = {"inputs": inputs, "output": str(tmp_path / "out"), "grid": {"west": 0.0, "north": 120.0, "res": res, "nrow": n, "ncol": n}, "processing": {"width_radius": 30.0, "final_radius": 30.0, "angle": 45.0, "model": {"iterations": 2, "depth": 2}}}
-    status = steps.run_pipeline(spark, config, urban.steps(), steps.Manifest.load(str(tmp_path / "m.json")))
+    status = steps.run_pipeline(spark, config, urban.steps(), steps.Manifest.load(str(tmp_path / "m.json"), spark))
     assert status["is_complete"]
     final = spark.read.parquet(f"{tmp_path}/out/urban_parameters")
     assert final.count() == n * n and len(final.columns) == 14

@@ -3,11 +3,12 @@
 Equal vectors are one point. Points are dealt by hash over shards; each shard
 builds its own graph: greedy searches from the medoid propose neighbours, and
 relaxed pruning keeps those that no kept neighbour is much closer to, so edges
-stay diverse. Inner product becomes Euclidean distance by one more component
-that gives all points the same norm. A query beams through every shard's
-graph; scores are then taken exactly, in double precision. The recall of a
-beam falls with the points of its graph, so shards have a bounded number of
-points at every size, and a search task holds a shelf of many shards.
+stay diverse. Shards hold points of about the same norm (a band of norms), so
+that within one the largest inner products are at the smallest angles, and the
+graph is over directions. A query beams through every shard's graph; scores
+are then taken exactly, in double precision. The recall of a beam falls with
+the points of its graph, so shards have a bounded number of points at every
+size, and a search task holds a shelf of many shards.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from terracell.llm.shared import written
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 128, 1.2
 #: Points of a shard, on average at most; of a shelf; shelves that a large enough table gets at least.
 SHARD_POINTS, SHELF_POINTS, SHELVES = 2_000, 100_000, 8
+#: Ratio of the norms in a band. Doubles have at most some 15,000 bands, which bounds their broadcast.
+BAND = 1.2
 #: Points moved together; queries that one search task holds, about.
 BATCH, TASK_QUERIES = 256, 100_000
 NEIGHBOURS = 20
@@ -117,9 +120,16 @@ def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, int]:
     return graph, start
 
 
-def _lifted(vectors: np.ndarray) -> np.ndarray:
-    norm = (vectors**2).sum(1)
-    return np.column_stack([vectors, np.sqrt(np.maximum(norm.max() - norm, 0))]).astype(np.float32)
+def _directions(vectors: np.ndarray) -> np.ndarray:
+    scaled = vectors / np.abs(vectors).max(1, keepdims=True)  # squares of very small or large components stay finite
+    return (scaled / np.sqrt((scaled**2).sum(1, keepdims=True))).astype(np.float32)
+
+
+def band(vector: str) -> Column:
+    """The band of a vector's norm; norm 1 is in the middle of band 0."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)))
+    return F.floor((F.log(largest) + F.log(norm)) / float(np.log(BAND)) + 0.5).cast("int")
 
 
 def _usable(name: str) -> Column:
@@ -130,16 +140,16 @@ def _usable(name: str) -> Column:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Equal vectors of a batch as one row with its NEIGHBOURS + 1 smallest ids: a query needs no more of them."""
     for batch in batches:
-        ids = batch.column(0).to_numpy()
+        ids, shards = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         order = np.argsort(ids, kind="stable")
-        points: dict[bytes, list[int]] = {}
-        rows = batch.column(1)
+        points: dict[tuple[int, bytes], list[int]] = {}
+        rows = batch.column(2)
         for i in order.tolist():
             raw = rows[i].values.to_numpy(zero_copy_only=False).astype("<f8").tobytes()
-            kept = points.setdefault(raw, [])
+            kept = points.setdefault((shards[i], raw), [])
             if len(kept) <= NEIGHBOURS and (not kept or kept[-1] != ids[i]):
                 kept.append(int(ids[i]))
-        yield pa.RecordBatch.from_arrays([pa.array(list(points), pa.binary()), pa.array(list(points.values()), pa.list_(pa.int64()))], names=["vector", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in points], pa.int32()), pa.array([v for _, v in points], pa.binary()), pa.array(list(points.values()), pa.list_(pa.int64()))], names=["shard", "vector", "ids"])
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -152,7 +162,7 @@ def _build(table: pa.Table) -> pa.Table:
     for row, raw in enumerate(listed):
         kept = sorted(points[raw])[: NEIGHBOURS + 1]
         ids[row, : len(kept)] = kept
-    graph, start = build_graph(_lifted(vectors))
+    graph, start = build_graph(_directions(vectors))
     one = table.slice(0, 1)
     return pa.table(
         {
@@ -187,12 +197,10 @@ def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarr
     vectors = np.frombuffer(shard["vectors"], dtype="<f8").reshape(-1, shard["dim"])
     graph = np.frombuffer(shard["graph"], dtype=np.int32).reshape(len(vectors), DEGREE).astype(np.int64)
     held = np.frombuffer(shard["ids"], dtype=np.int64).reshape(len(vectors), NEIGHBOURS + 1)
-    points = _lifted(vectors)
+    points = _directions(vectors)
     for low in range(0, len(asked), BATCH):
         some = own[low : low + BATCH]
-        # The lifted query has 0 in the added component, and its scale does not matter.
-        scale = np.sqrt((points[0] ** 2).sum()) / np.sqrt((some**2).sum(1, keepdims=True))
-        targets = np.column_stack([some * scale, np.zeros(len(some))]).astype(np.float32)
+        targets = _directions(some)
         near, _ = _greedy(points, graph, shard["start"], targets, SEARCH_BEAM)
         for k, q in enumerate(asked[low : low + BATCH].tolist(), low):
             hit = near[k - low][near[k - low] >= 0]
@@ -210,7 +218,7 @@ def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarr
 
 
 def dealt(total: int) -> tuple[int, int]:
-    """(shelves, shards) for so many rows."""
+    """(shelves, shards) for so many rows of a band."""
     return max(min(SHELVES, -(-total // 1000)), -(-total // SHELF_POINTS), 1), max(min(SHELVES, -(-total // 1000)), -(-total // SHARD_POINTS), 1)
 
 
@@ -220,19 +228,25 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     Queries search among vectors of their own length. Vectors that are null,
     zero, or hold null or non-finite components take no part, nor do rows with
     a null id. A query never finds rows of its own id. Ties go to the smaller
-    id; repeated rows count once. An empty table gives an empty one. Every row
-    is indexed: the graph is a written table, one row per shard.
+    id; repeated rows count once; a query id with several vectors asks with the
+    least. An empty table gives an empty one. Every row is indexed: the graph
+    is a written table, one row per shard.
     """
     rows = df.filter(F.col(key).isNotNull() & _usable(vector)).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), is_query.alias("asks"))
-    rows = written(rows, "ann-rows")
+    rows = written(rows.withColumn("band", band("vector")), "ann-rows")
     total = rows.count()
-    shelves, shards = dealt(total)
-    points = rows.select("id", "vector").mapInArrow(_packed, "vector binary, ids array<long>")
-    points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shard": F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int")})
-    points = points.withColumn("shelf", F.pmod("shard", F.lit(shelves)).cast("int"))
+    shelves, _ = dealt(total)
+    # Shards are numbered through all bands: at most one partly filled shard more for each band.
+    sizes = rows.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(SHARD_POINTS)), F.least(F.lit(SHELVES), F.ceil(F.count(F.lit(1)) / 1000))).alias("shards"))
+    before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = written(sizes.withColumn("first", F.coalesce(F.sum("shards").over(before), F.lit(0))), "ann-bands")
+    points = rows.join(F.broadcast(sizes), "band").withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("shards"))).cast("int"))
+    points = points.select("id", "shard", "vector").mapInArrow(_packed, "shard int, vector binary, ids array<long>")
+    points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shelf": F.pmod("shard", F.lit(shelves)).cast("int")})
     index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, start long, vectors binary, graph binary, ids binary"), "ann-index")
 
-    asked = rows.filter("asks").dropDuplicates(["id"]).select("id", "vector").mapInArrow(_binary, "query_id long, vector binary")
+    # Rows of one id that differ are one query: the least vector.
+    asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(_binary, "query_id long, vector binary")
     parts = max(1, -(-rows.filter("asks").count() // TASK_QUERIES))
     asked = asked.select("query_id", "vector", F.floor(F.octet_length("vector") / 8).cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
     held = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))

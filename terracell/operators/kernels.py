@@ -19,12 +19,25 @@ PAIRS = 1 << 20
 FOURIER = 12
 
 
-def ring_arrays(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lengths, x, y) of a column of rings; null rings and points count as none."""
-    lengths = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    points = rings.flatten()
+def ring_arrays(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths, x, y, follows) of a column of rings, or of arrays of rings: points by feature, and the point that each one's edge leads to.
+
+    Null rings and arrays have no points.
+    """
+    def sizes(column: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    lengths, points = sizes(rings), rings.flatten()
+    inner = lengths
+    if pa.types.is_list(points.type):
+        inner, points = sizes(points), points.flatten()
+        ends = np.concatenate(([0], np.cumsum(inner)))
+        lengths = np.diff(ends[np.concatenate(([0], np.cumsum(lengths)))])
     x, y = (pc.struct_field(points, k).cast(pa.float64()).to_numpy(zero_copy_only=False) for k in ("x", "y"))
-    return lengths, x, y
+    follows = np.arange(len(x)) + 1
+    some = inner[inner > 0]
+    follows[np.cumsum(some) - 1] = np.cumsum(some) - some
+    return lengths, x, y, follows
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,15 +47,13 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cells_of_rings(rings: pa.Array, west: float, north: float, res: float, ncol: int, nrow: int, reach: float = 0.0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(feature, row, col) of every cell whose centre lies in a ring (even-odd; each edge owns its lower end) or at most ``reach`` from it."""
-    lengths, x, y = ring_arrays(rings)
+    """(feature, row, col) of every cell whose centre lies in a feature (even-odd over its rings; each edge owns its lower end) or at most ``reach`` from it."""
+    lengths, x, y, follows = ring_arrays(rings)
     feature = np.flatnonzero(lengths)
     if not len(feature):
         return
     lengths = lengths[feature]
     first = np.cumsum(lengths) - lengths
-    follows = np.arange(len(x)) + 1
-    follows[first + lengths - 1] = first
     bx, by = x[follows], y[follows]
 
     def index(v, most):
@@ -79,7 +90,7 @@ def cells_of_rings(rings: pa.Array, west: float, north: float, res: float, ncol:
 
 def smallest_boxes(rings: pa.Array, step: int = 5) -> pa.StructArray:
     """struct(key, angle, length, width) of each ring's least bounding box over angles from 0 below 180; the first of equal ones, areas to 6 places."""
-    lengths, x, y = ring_arrays(rings)
+    lengths, x, y, _ = ring_arrays(rings)
     some = lengths > 0
     first = (np.cumsum(lengths) - lengths)[some]
     n = int(some.sum())

@@ -37,8 +37,9 @@ def covered(df: DataFrame, west: float, north: float, res: float, ncol: int, nro
     """df without its ring by each cell whose centre lies in the ring, or at most ``reach`` from it: adds row, col.
 
     One pass in Arrow batches, nothing shuffled: each feature spans the cells
-    of its box only, and the ring decides those. Null and empty rings cover
-    nothing.
+    of its box only, and the ring decides those. ``ring`` may hold arrays of
+    rings: polygons with holes and several parts, by the even-odd rule. Null
+    and empty rings cover nothing.
     """
     kept = [c for c in df.columns if c not in (ring, "row", "col")]
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terracell.operators import raster
 from terracell.schema import CELLS, Grid
 from terracell.sources import cells, geotiff, vector
 from terracell.streaming.tiles import open_tiles, process_new_tiles
@@ -32,6 +33,23 @@ def test_geojson_wkt_and_csv(spark, tmp_path):
     assert vector.read_table(spark, str(tmp_path / "t.csv"), T.StructType([*schema, T.StructField("geometry_type", T.StringType())])).count() == 4
 
 
+def test_polygons_with_holes_and_parts(spark, tmp_path):
+    text = "MULTIPOLYGON (((0 0, 10 0, 10 10, 0 10, 0 0), (2 2, 8 2, 8 8, 2 8, 2 2)), ((20 0, 24 0, 24 4, 20 4, 20 0)))"
+    rows = [("m", text), ("p", "polygon z ((0 0 1, 3 0 1, 3 3 1, 0 0 1))"), ("l", "LINESTRING (0 0, 1 1)"), ("n", None), ("e", "POLYGON EMPTY")]
+    df = spark.createDataFrame(rows, "id string, w string").withColumn("polygons", vector.wkt_polygons(F.col("w")))
+    got = {r.id: r.polygons for r in df.collect()}
+    assert [[len(ring) for ring in p] for p in got["m"]] == [[4, 4], [4]] and [len(r) for r in got["p"][0]] == [3] and got["l"] is got["n"] is got["e"] is None
+    assert df.filter("id = 'm'").select(vector.wkt_polygons(vector.to_wkt_multi(F.col("polygons"))).alias("p")).first().p == got["m"]
+    rings = df.withColumn("rings", F.flatten("polygons"))
+    cells = {(r.id, r.row, r.col) for r in raster.covered(rings.select("id", "rings"), 0.0, 30.0, 1.0, 30, 30, ring="rings").collect()}
+    assert sum(c[0] == "m" for c in cells) == 100 - 36 + 16 and ("m", 25, 5) not in cells and ("m", 29, 22) in cells
+    lines = [json.dumps({"type": "Feature", "properties": {"id": k}, "geometry": {"type": "MultiLineString", "coordinates": [[[0, 0], [1, 0], [1, 0], [1, 2]], [[5, 5]]]}}) for k in "ab"]
+    (tmp_path / "l.ndjson").write_text("\n".join(lines))
+    layer = vector.read_geojson(spark, str(tmp_path / "l.ndjson"), T.StructType([T.StructField("id", T.StringType())]), lines=True)
+    found = sorted((r.id, r.line, r.place, r.x1, r.y1, r.x2, r.y2) for r in vector.segments(layer).collect())
+    assert found == [(k, 0, n, *s) for k in "ab" for n, s in ((0, (0.0, 0.0, 1.0, 0.0)), (2, (1.0, 0.0, 1.0, 2.0)))]
+
+
 def test_cells(spark, tmp_path):
     df = spark.range(64).select((F.col("id") / 8).cast("int").alias("row"), (F.col("id") % 8).cast("int").alias("col"), F.col("id").cast("double").alias("v"))
     path = str(tmp_path / "c")

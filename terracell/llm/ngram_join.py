@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from terracell.llm.components import components
 from terracell.llm.prefix_trie import Union, linked
 from terracell.llm.secrets import text_bytes
-from terracell.llm.shared import lean, release, slices, small, written
+from terracell.llm.shared import lean, release, share_join, slices, small, written
 from terracell.llm.shingles import U, mixed, shingle_sets
 
 #: Frequent members that parts leave out, at most: a bound on what is broadcast; any choice gives the same links.
@@ -33,8 +33,10 @@ FREQUENT = 65_536
 #: Counts of a member in one slice below this are not reported for that list.
 REPORTED = 3
 #: Signatures that a candidate task sorts, and members that a block's owner holds, about.
-TASK_SIGNATURES = 1_500_000
-TASK_MEMBERS = 1_000_000
+TASK_SIGNATURES = 400_000
+TASK_MEMBERS = 400_000
+#: Signatures that a dealing task gathers before it combines them.
+GATHERED = 1_000_000
 #: Blocks with more members are dealt over chunks, and each pair of chunks is one task.
 BLOCK_MEMBERS = 4_000_000
 #: Levels span three steps of size.
@@ -153,8 +155,59 @@ def _describe(words: int):
     return lean(describe)
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs without repetition, by a, then b."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), dtype=bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[fresh], b[fresh]
+
+
+def _roots(signature: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, roots): owners that share a signature, directly or through others, with the least of them each."""
+    signature, owner = _distinct(signature, owner)
+    fresh = np.ones(len(signature), dtype=bool)
+    fresh[1:] = signature[1:] != signature[:-1]
+    least = owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(owner) else owner
+    apart = owner != least
+    high, low = _distinct(owner[apart], least[apart])
+    nodes, index = np.unique(np.concatenate([high, low]), return_inverse=True)
+    union = Union(len(nodes))
+    for a, b in zip(index[: len(high)].tolist(), index[len(high) :].tolist(), strict=True):
+        union.join(a, b)
+    return nodes, nodes[np.array([union.find(i) for i in range(len(nodes))], dtype=np.int64)] if len(nodes) else nodes
+
+
+def _combined(signature: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and owners with the same components, but each signature once for each component of these rows.
+
+    Owners that meet here are replaced by their root, so a signature that all
+    share is one row; each such owner keeps one signature, made from its root,
+    that ties it to the root.
+    """
+    nodes, roots = _roots(signature, owner)
+    if not len(nodes):
+        return signature, owner
+    at = np.minimum(np.searchsorted(nodes, owner), len(nodes) - 1)
+    root = np.where(nodes[at] == owner, roots[at], owner)
+    tie = mixed(roots.astype(np.uint64) ^ U(0x5851F42D4C957F2D))
+    return _distinct(np.concatenate([signature, tie]), np.concatenate([root, nodes]))
+
+
 def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
+    def packed(signatures: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
+        signature, owner = _combined(np.concatenate(signatures), np.concatenate(owners))
+        bucket = (((signature >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        signature, owner, bucket = signature[order], owner[order], bucket[order]
+        present, starts = np.unique(bucket, return_index=True)
+        ends = np.append(starts[1:], len(bucket))
+        rows = [(signature[a:b].tobytes(), owner[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "signatures", "owners"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_by, count = [], [], 0
         for batch in slices(batches, 1):
             tokens, first, last = _sets(batch, 1, words)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -162,14 +215,14 @@ def _deal(words: int, frequent: np.ndarray, levels: Levels, buckets: int):
             sizes = [len(s) for s in found]
             if not sum(sizes):
                 continue
-            signature, owner = np.concatenate(found), np.repeat(ids, sizes)
-            bucket = (((signature >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            signature, owner, bucket = signature[order], owner[order].astype(np.int64), bucket[order]
-            present, starts = np.unique(bucket, return_index=True)
-            ends = np.append(starts[1:], len(bucket))
-            packed = [(signature[a:b].tobytes(), owner[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())], names=["bucket", "signatures", "owners"])
+            held.append(np.concatenate(found))
+            held_by.append(np.repeat(ids, sizes).astype(np.int64))
+            count += sum(sizes)
+            if count > GATHERED:
+                yield packed(held, held_by)
+                held, held_by, count = [], [], 0
+        if count:
+            yield packed(held, held_by)
 
     return lean(deal)
 
@@ -178,19 +231,9 @@ def _meet(table: pa.Table) -> pa.Table:
     """Of each signature's owners, links that span them, contracted over the whole bucket."""
     signature = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in table.column("signatures").to_pylist()])
     owner = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in table.column("owners").to_pylist()])
-    order = np.lexsort((owner, signature))
-    signature, owner = signature[order], owner[order]
-    fresh = np.ones(len(signature), dtype=bool)
-    fresh[1:] = signature[1:] != signature[:-1]
-    least = owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
-    pairs = np.unique(np.column_stack([owner, least])[owner != least], axis=0)
-    nodes, index = np.unique(pairs, return_inverse=True)
-    union = Union(len(nodes))
-    for a, b in index.reshape(pairs.shape).tolist():
-        union.join(a, b)
-    roots = np.array([union.find(i) for i in range(len(nodes))], dtype=np.int64)
-    a = np.flatnonzero(roots != np.arange(len(nodes)))
-    return pa.table({"a": pa.array(nodes[a], pa.int64()), "b": pa.array(nodes[roots[a]], pa.int64())})
+    nodes, roots = _roots(signature, owner)
+    apart = nodes != roots
+    return pa.table({"a": pa.array(nodes[apart], pa.int64()), "b": pa.array(roots[apart], pa.int64())})
 
 
 def _members(words: int):
@@ -241,18 +284,17 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).astype(np.uint64))
 
     usable = docs.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    sets = written(usable.groupBy("n", "one", "two").agg(F.min("doc_id").alias("set_id")), "ngram-sets")
-    size = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("members"), F.coalesce(F.max("n"), F.lit(1)).alias("largest")).first()
+    sets = written(usable.groupBy("n", "one", "two").agg(F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("weight")), "ngram-sets")
+    size = sets.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("members"), F.coalesce(F.max("n"), F.lit(1)).alias("largest")).first()
     levels = Levels(percent, size["largest"])
 
     # Rows whose set another document represents.
-    copies = written(usable.join(sets, ["n", "one", "two"]).filter(F.col("doc_id") != F.col("set_id")).select("doc_id", "text_hash").distinct(), "ngram-copies")
+    copies = written(share_join(usable, sets, ["n", "one", "two"], size["rows"]).filter(F.col("doc_id") != F.col("set_id")).select("doc_id", "text_hash").distinct(), "ngram-copies")
     apart = source.filter(F.col("doc_id").isNotNull()).join(small(copies), ["doc_id", "text_hash"], "left_anti")
 
     buckets = max(1, -(-size["members"] * 3 // 10 // TASK_SIGNATURES))
     dealt = apart.select("doc_id", "text").mapInArrow(_deal(words, frequent, levels, buckets), "bucket long, signatures binary, owners binary")
-    blocks = components(dealt.groupBy("bucket").applyInArrow(_meet, "a long, b long"))
-    blocks = written(blocks.withColumnRenamed("component", "block"), "ngram-blocks")
+    blocks = components(dealt.groupBy("bucket").applyInArrow(_meet, "a long, b long")).withColumnRenamed("component", "block")
 
     # Members by block decide how a block is dealt.
     sized = blocks.join(sets.select(F.col("set_id").alias("node"), "n"), "node").groupBy("block").agg(F.sum("n").alias("members"))
@@ -276,9 +318,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
         F.when(one, F.lit(-1).cast("long")).otherwise(F.greatest("chunk", "other")).alias("right"),
     )
     links = candidates.groupBy("place", "left", "right").applyInArrow(_owner(percent), "a long, b long")
-    reached = written(components(links), "ngram-components")
+    reached = components(links)
 
-    found = docs.join(sets, ["n", "one", "two"], "left").join(reached.withColumnRenamed("node", "set_id"), "set_id", "left")
+    found = share_join(docs, sets, ["n", "one", "two"], size["rows"], "left").join(reached.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("set_id"), F.col("doc_id")))
     return found.select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("set_id"), F.col("doc_id"))).alias("set_id"))
 

@@ -150,6 +150,38 @@ def test_recall_on_vectors_spread_evenly(spark):
         assert rows / shards <= 2_000 and rows / shelves <= 100_000
 
 
+def test_recall_on_unequal_norms(spark):
+    draw = np.random.default_rng(8)
+    for v in (draw.normal(size=(2_000, 64)), draw.normal(size=(6_000, 32)) * draw.lognormal(0, 1, (6_000, 1))):
+        df = spark.createDataFrame([(k, row) for k, row in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+        got, hit = {}, 0
+        for r in ann.neighbours(df, F.col("vec_id") % 100 == 0).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        for q in range(0, len(v), 100):
+            score = v @ v[q]
+            score[q] = -np.inf
+            hit += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+        assert hit / (len(v) // 100 * 20) >= 0.98
+
+
+def test_queries_of_one_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.0, 3.0]), (2, [2.0, 0.0]), (3, [1e-200, 1e-200])]
+    for some in (rows, rows[::-1]):
+        got = ann.neighbours(spark.createDataFrame(some, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 3.0), (3, 1e-200), (2, 0.0)]
+
+
+def test_combined_signatures_keep_components():
+    draw = np.random.default_rng(5)
+    signature, owner = draw.integers(0, 60, 400).astype(np.uint64), draw.integers(0, 150, 400)
+    signature[:50] = 7
+    few, by = ngram_join._combined(signature, owner)
+    for s, o in ((few, by), (np.concatenate([few, signature]), np.concatenate([by, owner]))):
+        nodes, roots = ngram_join._roots(s, o)
+        assert dict(zip(nodes.tolist(), roots.tolist())) == dict(zip(*(x.tolist() for x in ngram_join._roots(signature, owner))))
+    assert (few == 7).sum() == 1
+
+
 def test_every_operator_is_registered():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,10 +10,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracell.operators.features import filled_height, imputed_defaults, training_rows
+from terracell.operators.features import filled_height, imputed_defaults, regression_metrics, training_rows
+from terracell.sources import store
 
 SEED = 22
 
@@ -47,31 +49,73 @@ def predict(df: DataFrame, model: PipelineModel, numeric: list[str], categorical
     return scored.select(*kept, filled_height(F.col(target), F.col("prediction")).alias(target), missing.cast("int").alias("predicted"))
 
 
-def tune(df: DataFrame, numeric: list[str], categorical: list[str], target: str = "calc_height", draws: int = 4, folds: int = 3, seed: int = SEED) -> DataFrame:
-    """(depth, iterations, rate, rmse) of randomly drawn parameters, by cross-validation."""
+#: What a search draws from, unless it is told otherwise.
+GRID = {"depth": [2, 3, 4], "iterations": [3, 5, 8], "rate": [0.05, 0.1, 0.2]}
+
+
+def tune(df: DataFrame, numeric: list[str], categorical: list[str], target: str = "calc_height", draws: int = 4, folds: int = 3, seed: int = SEED, grid: dict[str, list] | None = None, parallel: int = 4) -> DataFrame:
+    """(depth, iterations, rate, rmse) of randomly drawn parameters, by cross-validation; ``grid`` lists the values of each."""
     draw = random.Random(seed)
+    grid = GRID | (grid or {})
     pipeline = model_pipeline(numeric, categorical, target, seed=seed)
     trees = pipeline.getStages()[-1]
-    grids = [ParamGridBuilder().baseOn({trees.maxDepth: draw.choice([2, 3, 4]), trees.maxIter: draw.choice([3, 5, 8]), trees.stepSize: draw.choice([0.05, 0.1, 0.2])}).build()[0] for _ in range(draws)]
+    grids = [ParamGridBuilder().baseOn({trees.maxDepth: draw.choice(grid["depth"]), trees.maxIter: draw.choice(grid["iterations"]), trees.stepSize: draw.choice(grid["rate"])}).build()[0] for _ in range(draws)]
     rows = imputed_defaults(training_rows(df, [*numeric, *categorical], target), [*numeric, target], categorical).select(*numeric, *categorical, target).persist()
     judge = RegressionEvaluator(labelCol=target, metricName="rmse")
-    fitted = CrossValidator(estimator=pipeline, estimatorParamMaps=grids, evaluator=judge, numFolds=folds, seed=seed, parallelism=4).fit(rows)
+    fitted = CrossValidator(estimator=pipeline, estimatorParamMaps=grids, evaluator=judge, numFolds=folds, seed=seed, parallelism=parallel).fit(rows)
     rows.unpersist()
     found = [(g[trees.maxDepth], g[trees.maxIter], g[trees.stepSize], float(m)) for g, m in zip(grids, fitted.avgMetrics, strict=True)]
     return df.sparkSession.createDataFrame(found, "depth int, iterations int, rate double, rmse double")
 
 
-def importances(model: PipelineModel, numeric: list[str], categorical: list[str]) -> list[tuple[str, float]]:
+def best(found: DataFrame) -> dict:
+    """The drawn parameters of least error; ties go to the smaller parameters."""
+    row = found.orderBy("rmse", "depth", "iterations", "rate").first()
+    return {"depth": row.depth, "iterations": row.iterations, "rate": row.rate}
+
+
+def save_params(spark: SparkSession, params: dict, path: str) -> None:
+    """Parameters as JSON, in any store that Spark reads."""
+    store.write_text(spark, path, json.dumps(params))
+
+
+def load_params(spark: SparkSession, path: str) -> dict:
+    """Saved parameters; a missing file raises FileNotFoundError."""
+    text = store.read_text(spark, path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return json.loads(text)
+
+
+def importances(model: PipelineModel, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """(name, importance, rank) of the model's features, the most important first; equal ones by name."""
     values = model.stages[-1].featureImportances.toArray()
-    return sorted(zip([*numeric, *categorical], map(float, values), strict=True), key=lambda x: -x[1])
+    ranked = sorted(zip([*numeric, *categorical], map(float, values), strict=True), key=lambda x: (-x[1], x[0]))
+    rows = [(name, value, k) for k, (name, value) in enumerate(ranked, 1)]
+    return SparkSession.getActiveSession().createDataFrame(rows, "name string, importance double, rank int")
 
 
 def assess(df: DataFrame, numeric: list[str], categorical: list[str], target: str = "calc_height", splits: int = 10, share: float = 0.2, seed: int = SEED, **params) -> DataFrame:
-    """(split, rmse, r2) over repeated random splits."""
-    rows = training_rows(df, [*numeric, *categorical], target)
-    found = []
+    """(split, part, r2, rmse, mape) over repeated random splits, for the rows that were fitted (train) and held out (test).
+
+    A split needs rows on both sides; one without is left out.
+    """
+    rows = training_rows(df, [*numeric, *categorical], target).persist()
+    found = None
     for k in range(splits):
         fit, held = rows.randomSplit([1 - share, share], seed + k)
-        scored = train(fit, numeric, categorical, target, **params).transform(imputed_defaults(held, [*numeric, target], categorical))
-        found.append((k, *[float(RegressionEvaluator(labelCol=target, metricName=m).evaluate(scored)) for m in ("rmse", "r2")]))
-    return df.sparkSession.createDataFrame(found, "split int, rmse double, r2 double")
+        if fit.isEmpty() or held.isEmpty():
+            continue
+        model = train(fit, numeric, categorical, target, **params)
+        for part, side in (("train", fit), ("test", held)):
+            scored = model.transform(imputed_defaults(side, [*numeric, target], categorical))
+            one = regression_metrics(scored, target, "prediction").select(F.lit(k).alias("split"), F.lit(part).alias("part"), "r2", "rmse", "mape")
+            found = one if found is None else found.unionByName(one)
+    if found is None:
+        raise ValueError("no split has rows on both sides")
+    return found
+
+
+def assessment(splits: DataFrame) -> DataFrame:
+    """(part, r2, rmse, mape): means over the splits."""
+    return splits.groupBy("part").agg(*[F.avg(c).alias(c) for c in ("r2", "rmse", "mape")])

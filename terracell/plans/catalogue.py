@@ -529,6 +529,16 @@ def tile_any_nonzero(s, d):
     return _cells(s, d).groupBy(F.floor(F.col("row") / 16).cast("int").alias("ti"), F.floor(F.col("col") / 16).cast("int").alias("tj")).agg(F.bool_or(F.col("v") > 50).alias("busy"))
 
 
+# Bare earth: the surface less 3 where the row is even, else less 4, in two tiles that overlap.
+@query("""SELECT c.row, c.col, CASE WHEN c.col<40 THEN 3+c.row%2 ELSE 5 END::DOUBLE AS v FROM cells c WHERE c.v IS NOT NULL""")
+def dem_fabdem(s, d):
+    from terracell.plans.dem import elevation_raster
+
+    c = _cells(s, d).select("row", "col", "v")
+    tiles = [c.filter("col < 40").withColumn("v", F.col("v") - 3 - F.col("row") % 2), c.filter("col >= 20").withColumn("v", F.col("v") - 5)]
+    return elevation_raster("fabdem", tiles, Grid(0.0, 640.0, 10.0, 64, 64), surface=c)
+
+
 @query("SELECT count_if(ok)::BIGINT AS processed, count_if(NOT ok)::BIGINT AS skipped FROM (SELECT row//16 AS ti, col//16 AS tj, count(v)>205 AS ok FROM cells GROUP BY 1, 2)")
 def tile_counters(s, d):
     tiles = _cells(s, d).groupBy(F.floor(F.col("row") / 16), F.floor(F.col("col") / 16)).agg((F.count("v") > 205).alias("ok"))
@@ -604,6 +614,22 @@ def ml_tune(s, d):
     return ml.tune(features.building_features(_ring(_prepared(s, d))), NUMERIC, CATEGORICAL, draws=30, folds=3)
 
 
+@query()
+def ml_assess(s, d):
+    from terracell.operators import ml
+
+    rows = features.building_features(_ring(_prepared(s, d)))
+    return ml.assessment(ml.assess(rows, NUMERIC, CATEGORICAL, iterations=5, depth=3, bins=256))
+
+
+@query()
+def ml_importance(s, d):
+    from terracell.operators import ml
+
+    model = ml.train(features.building_features(_ring(_prepared(s, d))), NUMERIC, CATEGORICAL, iterations=5, depth=3, bins=256)
+    return ml.importances(model, NUMERIC, CATEGORICAL)
+
+
 @query("SELECT name, importance::DOUBLE AS importance, row_number() OVER (ORDER BY importance DESC, name)::INT AS rank FROM (VALUES ('area', 0.31), ('min_dem', 0.22), ('obox_hw', 0.22), ('class', 0.25)) t(name, importance)")
 def sort_importance(s, d):
     table = s.createDataFrame([("area", 0.31), ("min_dem", 0.22), ("obox_hw", 0.22), ("class", 0.25)], "name string, importance double")

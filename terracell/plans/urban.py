@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from terracell.operators import distance, features, ml, raster
 from terracell.plans.catalogue import CATEGORICAL, NUMERIC
-from terracell.plans.dem import road_terrain
+from terracell.plans.dem import building_elevations, elevation_raster
 from terracell.schema import Grid
+from terracell.sources import store
+from terracell.sources.vector import segments
 
 
 class Urban:
@@ -64,15 +66,20 @@ class Urban:
         means = self.covered(self.read("buildings")).join(smooth, ["row", "col"]).groupBy("id").agg(F.avg(F.nullif("v", F.lit(0.0))).alias("width_med"))
         return self.keep(smooth, "width") | self.keep(means, "buildings_width")
 
-    def dem_features(self) -> dict:
-        g, buildings = self.grid, self.read("buildings")
-        rise = road_terrain(self.read("surface"), self.read("roads"), g.res, g.north, g.nrow, g.ncol)
-        top = self.covered(buildings).join(rise, ["row", "col"]).groupBy("id").agg(F.max("v").alias("v"))
-        from terracell.functions.geometry import centroid
+    def _lines(self) -> DataFrame:
+        """Roads as segments, each with an id of its own: as given, or those of lines of any length in ``rings``."""
+        lines = self.read("roads")
+        if "rings" not in lines.columns:
+            return lines
+        found = segments(lines)
+        return found.withColumn("id", F.concat_ws("/", F.col("id").cast("string"), "line", "place"))
 
-        at = buildings.select("id", centroid(F.col("ring")).alias("c")).select("id", "c.x", "c.y").join(top, "id", "left")
-        filled = features.tiered_heights(at, self.options.get("dem_radius", 200.0))
-        return self.keep(filled.select("id", F.col("value").alias("max_value")), "buildings_dem")
+    def dem_features(self) -> dict:
+        kind = self.options.get("dem_type", "arcticdem")
+        tiles = [self.spark.read.parquet(p) for p in self.inputs.get("dem_tiles", [])] or [self.read("surface")]
+        surface = self.read("surface") if kind == "fabdem" else None
+        rise = elevation_raster(kind, tiles, self.grid, self._lines(), surface, self.options.get("use_difference", True), self.options.get("dem_buffer", 100.0))
+        return self.keep(building_elevations(self.read("buildings"), rise, self.grid, self.options.get("dem_radius", 200.0)), "buildings_dem")
 
     def lcz_features(self) -> dict:
         kept = self.read("lcz_cells").select("row", "col", F.when(~F.col("v").isin(list(range(11, 18))), F.col("v").cast("double")).alias("v"))
@@ -86,7 +93,14 @@ class Urban:
         return self.keep(features.building_features(joined), "buildings_prepared")
 
     def train_model(self) -> dict:
-        model = ml.train(self.kept("buildings_prepared"), NUMERIC, CATEGORICAL, **self.options.get("model", {}))
+        rows, options = self.kept("buildings_prepared"), dict(self.options.get("model", {}))
+        if self.options.get("tuning"):
+            found = ml.tune(rows, NUMERIC, CATEGORICAL, **self.options["tuning"])
+            options |= ml.best(found)
+            ml.save_params(self.spark, options, f"{self.out}/model_params.json")
+        elif (saved := store.first_known(self.spark, self.options.get("model_params"), f"{self.out}/model_params.json")) is not None:
+            options |= ml.load_params(self.spark, saved)
+        model = ml.train(rows, NUMERIC, CATEGORICAL, **options)
         model.write().overwrite().save(f"{self.out}/model")
         return {"model": f"{self.out}/model"}
 
@@ -111,7 +125,7 @@ class Urban:
         return self.keep(distance.rays(tall, self.grid.res, self.options.get("angle", 1.0), self.options.get("final_radius", 1000.0)), "canyon_length")
 
     def roads(self) -> dict:
-        g, lines = self.grid, self.read("roads")
+        g, lines = self.grid, self._lines()
         width = features.parsed_width(F.col("width_value"))
         wide = lines.withColumn("radius", features.road_radius(width, F.col("class"), F.col("subtype"))).filter("radius > 0")
         hit = raster.touched(wide, g.west, g.north, g.res / 3, g.ncol * 3, g.nrow * 3).withColumn("v", F.lit(1))
@@ -120,7 +134,9 @@ class Urban:
     def industrial(self) -> dict:
         use = self.read("land_use")
         flag = F.when(F.col("class") == self.options.get("industrial", "industrial"), 1).otherwise(0)
-        return self.keep(raster.burned(self.covered(use), flag, F.struct("seq")), "industrial")
+        found = raster.burned(self.covered(use), flag, F.struct("seq"))
+        # The mask has an extent of its own, that of its layer: outside it nothing is said.
+        return self.keep(found, "industrial")
 
     def _resampled(self, source: str, name: str, method: str) -> dict:
         return self.keep(raster.resampled(self.read(source), self.cells(), self.options.get(f"{source}_scale", 1.0), method), name)

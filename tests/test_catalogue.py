@@ -9,7 +9,7 @@ import pytest
 from terracell.plans import catalogue
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"ml_train_predict", "ml_tune"}
+SLOW = {"ml_tune"}
 
 
 @pytest.fixture(scope="module")

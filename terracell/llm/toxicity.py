@@ -153,10 +153,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """A model from labelled documents that are not held out.
 
     The sample is bounded (TRAIN_*): ids are chosen from the labels alone, by
-    hash, and only their texts are fetched. Null ids, labels and texts are
-    left out; without both classes the model scores 0 everywhere.
+    hash, and only their texts are fetched. Null ids, labels and texts and
+    texts over TRAIN_CHARS characters are left out of the fit; an id's repeated
+    label is the larger, of its repeated texts the least counts. Without both
+    classes the model scores 0 everywhere.
     """
     usable = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key)).select(F.col(key).alias("__id"), F.col(label).cast("int").alias("__label"))
+    usable = usable.groupBy("__id").agg(F.max("__label").alias("__label"))
     first = F.xxhash64("__id")
     chosen = [usable.filter(F.col("__label") == k).orderBy(first, "__id").limit(most).toPandas() for k, most in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC))]
     known = {int(i): k for k, part in enumerate(chosen) for i in part["__id"]}
@@ -164,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return Model([], np.zeros(0))
     ids = docs.sparkSession.createDataFrame([(i,) for i in known], "__id long")
     rows = docs.join(F.broadcast(ids), F.col(key) == F.col("__id"), "left_semi").filter(F.char_length(text) <= TRAIN_CHARS)
-    rows = sorted((r[0], r[1]) for r in rows.select(key, text).collect())  # at most TRAIN_* rows and characters
+    # A repeated id is one document, the least of its texts; so at most TRAIN_* rows come here.
+    rows = rows.groupBy(F.col(key).alias("__key")).agg(F.min(text).alias("__text"))
+    rows = sorted((int(r[0]), r[1]) for r in rows.collect())
     return fit([t for _, t in rows], [known[i] for i, _ in rows])
 
 
@@ -172,8 +177,9 @@ def score_documents(df: DataFrame, model: Model, key: str = "doc_id", text: str
     """One row per row of df: doc_id, held_out, score, predicted, offending.
 
     offending lists the sentences (start and end in code points, score) that
-    hold a pattern. Null and empty texts score 0. Whole texts are read;
-    nothing is shuffled; other columns are ignored.
+    hold a pattern. Null and empty texts score 0; repeated rows give repeated
+    results and an empty table none. Whole texts are read; nothing is shuffled;
+    other columns are ignored.
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -67,3 +67,9 @@ def test_empty_and_null(spark):
     got = mixing.mix(nulls).collect()
     assert len(got) == 4 and sorted(r.size for r in got) == [0, 0, 2, 2]
     assert nulls.filter(F.col("source").isNull()).count() == 2
+
+
+def test_very_long_texts(spark):
+    df = spark.createDataFrame([(1, "w " * 500_000, "a"), (2, "w", "a"), (3, "w w", "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    assert got[1].size == 500_000 and all(r.taken <= 2 * r.size for r in got.values())

@@ -43,6 +43,12 @@ def test_slots(spark):
     assert sharding.assign_shards(df.withColumn("name", F.col("text")), "name", 9).filter("shard between 0 and 8").count() == len(rows)
 
 
+def test_slots_of_very_long_texts(spark):
+    df = spark.createDataFrame([(1, "x" * 3_000_000), (2, "é" * 1_000_000), (3, None), (3, None)], "doc_id long, text string")
+    got = sharding.shard_slots(df, 24).collect()
+    assert sorted(r.size for r in got) == [8, 8, 2_000_008, 3_000_008] and {r.text_crc32 for r in got if r.size == 8} == {0}
+
+
 def brute_dedup(rows):
     texts = [re.sub("[\x20\x09-\x0d]+", " ", t or "") for _, t in rows]
     groups = {}

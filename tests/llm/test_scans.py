@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -124,6 +125,78 @@ def test_toxicity(spark):
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
 
 
+def plain_score(model, text):
+    """The noisy-or over sentences, patterns sought one by one."""
+    rest = 1.0
+    for sentence in re.split(r"[.!?\n]", text):
+        words = " " + re.sub(r"[\W_]+", " ", sentence.lower()).strip() + " "
+        found = [w for p, w in zip(model.patterns, model.weights) if p in words]
+        if found:
+            p0, p = (1 / (1 + math.exp(-z)) for z in (toxicity.BIAS, toxicity.BIAS + sum(found)))
+            rest *= (1 - p) / (1 - p0)
+    return 1 - rest
+
+
+def test_toxicity_equals_a_plain_noisy_or_over_whole_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    texts, marks = {r.doc_id: r.text for r in docs.collect()}, {r.doc_id: r.toxic for r in labels.collect()}
+    known = sorted(i for i, y in marks.items() if y is not None and zlib.crc32(str(i).encode()) % 3 != 1 and texts.get(i) is not None and len(texts[i]) <= toxicity.TRAIN_CHARS)
+    model = toxicity.train(docs, labels)
+    again = toxicity.fit([texts[i] for i in known], [marks[i] for i in known])
+    assert model.patterns == again.patterns and np.array_equal(model.weights, again.weights) and model.patterns
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert all(abs(got[i].score - plain_score(model, t or "")) < 1e-9 and got[i].predicted == (got[i].score >= 0.7) for i, t in texts.items())
+    kept = {r.doc_id for r in toxicity.clean_rows(docs, model).collect()}
+    assert kept == {i for i, t in texts.items() if plain_score(model, t or "") < 0.7}
+    held = [(got[i].score, y) for i, y in marks.items() if y is not None and got[i].held_out]
+    pairs = [(a > b) + (a == b) / 2 for a, y in held if y for b, z in held if not z]
+    assert not pairs or sum(pairs) / len(pairs) > 0.9
+
+
+def test_toxic_patterns_and_fit_are_the_plain_ones():
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice(["lorem", "ipsum", "dolor", "amet"]) for _ in range(6)) + (". what a zorblin here" if k % 3 == 0 else "") + (". flunk" if k % 7 == 0 else "") for k in range(120)]
+    marks = [int(k % 3 == 0) for k in range(120)]
+    model = toxicity.fit(texts, marks)
+    assert all(p in " what a zorblin here " for p in model.patterns) and any("zorb" in p for p in model.patterns)
+    for pattern in model.patterns:
+        a, c = (sum(pattern in f" {' '.join(re.findall('[a-z]+', t))} " for t, y in zip(texts, marks) if y == k) for k in (1, 0))
+        assert a >= 3 and a * marks.count(0) > 4 * c * marks.count(1)
+
+    def loss(weights):
+        other = toxicity.Model(model.patterns, weights)
+        scores = [min(max(plain_score(other, t), 1e-9), 1 - 1e-9) for t in texts]
+        return -sum(math.log(q if y else 1 - q) for q, y in zip(scores, marks)) / len(texts) + toxicity.SHRINK * (weights**2).sum() / len(weights) / 2
+
+    here = loss(model.weights)
+    for k in range(len(model.weights)):
+        for step in (-0.3, 0.3):
+            moved = model.weights.copy()
+            moved[k] = max(0.0, moved[k] + step)
+            assert loss(moved) >= here - 1e-6
+
+
+def test_toxicity_of_repeated_rows(spark):
+    rows = [(k, "plain words. " + ("grubbledor" if k % 4 == 0 else "sit amet")) for k in range(240)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(240)], "doc_id long, toxic int")
+    once, twice = (spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows * 3))
+    a, b = toxicity.train(once, labels), toxicity.train(twice, labels.unionByName(labels))
+    assert a.patterns == b.patterns and np.array_equal(a.weights, b.weights) and a.patterns
+    got = toxicity.score_documents(twice, a).collect()
+    assert len(got) == 720 and len({(r.doc_id, r.score) for r in got}) == 240
+    tied = spark.createDataFrame([(1, "b"), (1, "a"), (1, None)], "doc_id long, text string")
+    assert toxicity.train(tied, labels).patterns == []
+
+
+def test_very_long_urls(spark):
+    long = "http://" + "badnews" * 300 + ".example.org/es/" + "x" * 40_000 + "?" + "y" * 50_000
+    rows = [(1, long, "<p>bad news</p>"), (2, "http://" + "a." * 5000 + "com/en/1", None), (3, "http://test/" + "-" * 60_000, "w" * 200_000)]
+    got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert (got[1].rule, got[1].verdict, len(got[1].path)) == ("org/es/", "block", 40_004) and got[1].words.startswith("bad news bad news")
+    assert (got[2].rule, got[2].verdict) == ("com/en/", "block") and got[3].rule is None
+
+
 def test_url_rules_and_parts():
     assert url_filter.parts("HTTP://A.Example.COM:80/En/7?x#y") == ("a.example.com:80", "/En/7")
     assert url_filter.parts("no scheme/here") == url_filter.parts(None) == ("", "")

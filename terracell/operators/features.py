@@ -112,22 +112,36 @@ def tiered_heights(points: DataFrame, radius: float, least: int = 2) -> DataFram
     return good.select("id", F.col("v").alias("value"), F.lit(0).alias("tier")).unionByName(filled.select("id", value.alias("value"), tier.alias("tier")))
 
 
+def walked(lines: DataFrame, size: float) -> DataFrame:
+    """lines by each bin (bx, by) of ``size`` that the segment passes: of each row of bins only those under its part of the row."""
+    slack = 1e-9  # a crossing's own bin is walked by both segments, whatever the last digit
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = lines.withColumn("by", F.explode(F.sequence(F.floor(low / size - slack), F.floor(high / size + slack))))
+    rise = F.col("y2") - F.col("y1")
+
+    def across(y: Column) -> Column:
+        return F.col("x1") + F.try_divide((F.col("x2") - F.col("x1")) * (y - F.col("y1")), rise)
+
+    ends = [across(F.greatest(low, F.col("by") * F.lit(size))), across(F.least(high, (F.col("by") + 1) * F.lit(size)))]
+    level = rise == 0
+    left = F.when(level, F.least("x1", "x2")).otherwise(F.least(*ends))
+    right = F.when(level, F.greatest("x1", "x2")).otherwise(F.greatest(*ends))
+    return rows.withColumn("bx", F.explode(F.sequence(F.floor(left / size - slack), F.floor(right / size + slack))))
+
+
 def segment_crossings(lines: DataFrame, size: float) -> DataFrame:
     """(id1, id2, x, y) of proper crossings of segments (id, x1, y1, x2, y2), id1 < id2.
 
-    Segments meet through bins of their bounding boxes; a pair is tested in
-    the first bin they share only, so nothing is found twice.
+    Segments meet in the bins that they pass, as many as they are long; a
+    crossing counts in the bin that it lies in, so nothing is found twice.
     """
-    low = [F.floor(F.least(f"{k}1", f"{k}2") / size) for k in "xy"]
-    high = [F.floor(F.greatest(f"{k}1", f"{k}2") / size) for k in "xy"]
-    at = lines.withColumns({"lx": low[0], "ly": low[1]}).withColumn("bx", F.explode(F.sequence(low[0], high[0]))).withColumn("by", F.explode(F.sequence(low[1], high[1])))
-    a = at.select(*[F.col(c).alias(f"a_{c}") for c in at.columns])
-    b = at.select(*[F.col(c).alias(f"b_{c}") for c in at.columns])
-    first = (F.col("a_bx") == F.greatest("a_lx", "b_lx")) & (F.col("a_by") == F.greatest("a_ly", "b_ly"))
-    pairs = a.join(b, (F.col("a_bx") == F.col("b_bx")) & (F.col("a_by") == F.col("b_by")) & (F.col("a_id") < F.col("b_id")) & first)
+    at = walked(lines, size)
+    a = at.select("bx", "by", *[F.col(c).alias(f"a_{c}") for c in lines.columns])
+    b = at.select("bx", "by", *[F.col(c).alias(f"b_{c}") for c in lines.columns])
     ends = [tuple(F.col(f"{s}_{k}") for k in ("x1", "y1", "x2", "y2")) for s in "ab"]
-    met = pairs.select(F.col("a_id").alias("id1"), F.col("b_id").alias("id2"), G.crossing(*ends).alias("p"))
-    return met.filter(F.col("p").isNotNull()).select("id1", "id2", "p.x", "p.y")
+    met = a.join(b, ["bx", "by"]).filter(F.col("a_id") < F.col("b_id")).select("bx", "by", F.col("a_id").alias("id1"), F.col("b_id").alias("id2"), G.crossing(*ends).alias("p"))
+    here = (F.floor(F.col("p.x") / size) == F.col("bx")) & (F.floor(F.col("p.y") / size) == F.col("by"))
+    return met.filter(F.col("p").isNotNull() & here).select("id1", "id2", "p.x", "p.y")
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:

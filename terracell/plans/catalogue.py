@@ -180,7 +180,14 @@ def min_rotated_box(s, d):
     return b.select("id", F.col("b.angle").cast("int").alias("angle"), F.round(G.area(F.col("ring")) / (F.col("b.length") * F.col("b.width")), 6).alias("obox_ratio"), F.round(F.least(F.col("b.length") / F.col("b.width"), F.col("b.width") / F.col("b.length")), 6).alias("obox_hw"))
 
 
-@query()
+@query("""SELECT vec_id, round(area, 6) AS area, corners::INT AS corners, round(box, 6) AS box_area FROM (
+ WITH pts AS (SELECT vec_id, i::INT AS i, embedding[2*i+1]::DOUBLE AS x, embedding[2*i+2]::DOUBLE AS y FROM embeddings, range(16) t(i)),
+ edge AS (SELECT a.vec_id, a.x*b.y-b.x*a.y AS twice FROM pts a JOIN pts b ON a.vec_id=b.vec_id AND a.i<>b.i JOIN pts c ON c.vec_id=a.vec_id AND c.i<>a.i AND c.i<>b.i
+ GROUP BY a.vec_id, a.i, b.i, a.x, a.y, b.x, b.y HAVING min((b.x-a.x)*(c.y-a.y)-(b.y-a.y)*(c.x-a.x))>0),
+ hull AS (SELECT vec_id, sum(twice)/2 AS area, count(*) AS corners FROM edge GROUP BY 1),
+ spread AS (SELECT vec_id, d, (max(x*cos(radians(d))-y*sin(radians(d)))-min(x*cos(radians(d))-y*sin(radians(d))))*(max(x*sin(radians(d))+y*cos(radians(d)))-min(x*sin(radians(d))+y*cos(radians(d)))) AS size
+ FROM pts, (SELECT (k*5)::DOUBLE AS d FROM range(36) t(k)) GROUP BY 1, 2), tight AS (SELECT vec_id, min(size) AS box FROM spread GROUP BY 1)
+ SELECT h.vec_id, h.area, h.corners, t.box FROM hull h JOIN tight t ON t.vec_id=h.vec_id)""")
 def obox_features(s, d):
     from terracell.functions.hull import convex_hull
 
@@ -595,6 +602,35 @@ def regression_metrics(s, d):
     return m.select(F.round("r2", 6).alias("r2"), F.round("rmse", 4).alias("rmse"), F.round("mape", 6).alias("mape"))
 
 
+def _land(s, d):
+    return X.relation(s, d, X.LAND)
+
+
+@query(""", hole AS (SELECT * FROM land WHERE v IS NULL), pair AS (SELECT a.row, a.col, b.v AS near, (a.row-b.row)*(a.row-b.row)+(a.col-b.col)*(a.col-b.col) AS d2 FROM hole a JOIN land b
+ ON b.row BETWEEN a.row-6 AND a.row+6 AND b.col BETWEEN a.col-6 AND a.col+6 WHERE b.v IS NOT NULL)
+ SELECT h.row, h.col, round(i.v, 5) AS v FROM hole h LEFT JOIN (SELECT row, col, sum(near/d2)/sum(1.0/d2) AS v FROM pair WHERE d2<=36 GROUP BY 1, 2) i ON h.row=i.row AND h.col=i.col
+ UNION ALL SELECT row, col, v FROM land WHERE v IS NOT NULL""")
+def land_gap_fill(s, d):
+    return raster.gap_filled(_land(s, d).select("row", "col", "v"), 6).select("row", "col", F.round("v", 5).alias("v"))
+
+
+LAND_FIELD = """, near AS (SELECT a.row, a.col, min((a.row-b.row)*(a.row-b.row)+(a.col-b.col)*(a.col-b.col))::BIGINT AS d2 FROM land a JOIN land b ON b.src=1 AND b.row BETWEEN a.row-15 AND a.row+15 AND b.col BETWEEN a.col-15 AND a.col+15 GROUP BY 1, 2) """
+
+
+@query(LAND_FIELD + "SELECT row, col, round(sqrt(d2)*5, 6) AS v FROM near")
+def land_distance(s, d):
+    return distance.distance(_land(s, d).select("row", "col", "src"), 5.0).select("row", "col", F.round("v", 6).alias("v"))
+
+
+@query(LAND_FIELD + """, q AS (SELECT row, col, least(d2, 25.0) AS r2 FROM near WHERE d2>0), ins AS (SELECT q.row AS qr, q.col AS qc, q.r2, p.row, p.col FROM q JOIN near p
+ ON p.row BETWEEN q.row-5 AND q.row+5 AND p.col BETWEEN q.col-5 AND q.col+5 AND (p.row-q.row)*(p.row-q.row)+(p.col-q.col)*(p.col-q.col)<q.r2),
+ m AS (SELECT qr, qc, avg(row%7+col%5) AS height FROM ins GROUP BY 1, 2), w AS (SELECT row, col, arg_min((qr, qc), (-r2, qr, qc)) AS c, max(r2) AS r2 FROM ins GROUP BY 1, 2)
+ SELECT w.row, w.col, round(2*sqrt(w.r2)*5, 6) AS width, round(m.height, 6) AS height FROM w JOIN m ON m.qr=w.c[1] AND m.qc=w.c[2]""")
+def land_canyons(s, d):
+    near = distance.nearest_source(_land(s, d).select("row", "col", "src")).select("row", "col", "d2", (F.col("row") % 7 + F.col("col") % 5).cast("double").alias("alloc"))
+    return distance.canyon_width(near, 5.0, 25.0).select("row", "col", F.round("width", 6).alias("width"), F.round("height", 6).alias("height"))
+
+
 NUMERIC, CATEGORICAL = ["area", "isoquotient", "obox_ratio", "width_med", "obox_hw", "min_dem"], ["majority_100m", "class", "subtype"]
 
 

@@ -24,6 +24,12 @@ ROADS = """SELECT s_suppkey AS id, CAST(s_suppkey*53%640 AS DOUBLE) AS x1, CAST(
 # A dense grid: at the smallest scale some cells have no row.
 DENSE = f"SELECT g.row, g.col, c.v, CASE WHEN (g.row*31+g.col*17)%23=0 THEN 1 ELSE 0 END AS src FROM (SELECT CAST(a.i AS INT) AS row, CAST(b.i AS INT) AS col FROM n64 a CROSS JOIN n64 b) g LEFT JOIN ({CELLS}) c ON g.row=c.row AND g.col=c.col"
 
+# A raster that grows with the tables: as many rows of cells as the square root of the order lines.
+LAND = """SELECT CAST(floor(k/n) AS INT) AS row, CAST(k%n AS INT) AS col, CASE WHEN floor(k/n)%29<11 OR k%n%37<14 THEN NULL ELSE q END AS v,
+ CASE WHEN floor(k/n)%29<11 OR k%n%37<14 THEN 0 ELSE 1 END AS src FROM (
+ SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)-1 AS k, CAST(l_quantity AS DOUBLE) AS q FROM lineitem) t,
+ (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) AS n FROM lineitem) s WHERE k<n*n"""
+
 _TABLES = ("part", "lineitem", "supplier", "orders", "events", "embeddings")
 
 
@@ -51,4 +57,4 @@ def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: For DuckDB, in front of a query.
-WITH = f"WITH bld AS ({BLD}), dem AS ({DEM}), width AS ({WIDTH}), lczs AS ({LCZ}), cells AS ({CELLS}), roads AS ({ROADS}), n64 AS (SELECT i FROM range(64) t(i)), dense AS ({DENSE}) "
+WITH = f"WITH bld AS ({BLD}), dem AS ({DEM}), width AS ({WIDTH}), lczs AS ({LCZ}), cells AS ({CELLS}), roads AS ({ROADS}), n64 AS (SELECT i FROM range(64) t(i)), dense AS ({DENSE}), land AS ({LAND}) "

@@ -165,7 +165,7 @@ def process_width_raster_pipeline(spark: SparkSession, width_raster: str, polygo
     clipped = raster.masked(cells, _covered(layer.select("id", *[c for c in ("rings", "ring") if c in layer.columns]), grid).select("row", "col").distinct(), invert_mask)
     open_cells = every_cell(spark, grid).join(clipped, ["row", "col"], "left")
     filled = raster.gap_filled(open_cells, fill_filter_size)
-    smooth = write_raster(raster.focal_mean(filled, mean_filter_size, dense=True), f"{output_dir}/width", grid)
+    smooth = write_raster(raster.focal_mean(filled, mean_filter_size), f"{output_dir}/width", grid)
     means = _covered(layer, grid).join(smooth, ["row", "col"]).groupBy("id").agg(F.avg(F.nullif("v", F.lit(0.0))).alias("m"))
     at = layer.select("id", G.centroid(F.col("ring")).alias("c")).select("id", "c.x", "c.y")
     seen = raster.sampled(at, smooth, grid.west, grid.north, grid.res).join(means, "id", "left")

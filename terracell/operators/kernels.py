@@ -118,7 +118,8 @@ def disc(k: int) -> tuple[np.ndarray, np.ndarray]:
 def disc_sums(layers: list[np.ndarray], at: tuple[np.ndarray, np.ndarray], k: int, weight) -> list[np.ndarray]:
     """For each layer its sum of weight(d2) * value over the disc of radius k, without the centre, around the places ``at``."""
     i, j = disc(k)
-    apart = (i != 0) | (j != 0)
+    nrow, ncol = layers[0].shape
+    apart = ((i != 0) | (j != 0)) & (np.abs(i) < nrow) & (np.abs(j) < ncol)  # farther ones meet no cell of the tile
     i, j = i[apart], j[apart]
     w = weight((i * i + j * j).astype(float))
     r, c = at
@@ -129,13 +130,23 @@ def disc_sums(layers: list[np.ndarray], at: tuple[np.ndarray, np.ndarray], k: in
             for total, layer in zip(sums, padded, strict=True):
                 total += one * layer[r + (k + di), c + (k + dj)]
         return sums
-    shape = tuple(_smooth(n + 2 * k) for n in layers[0].shape)
+    shape = tuple(_smooth(n + min(k, n)) for n in layers[0].shape)
     kernel = np.zeros(shape)
     kernel[i % shape[0], j % shape[1]] = w
     turned = np.fft.rfft2(kernel)
     return [np.fft.irfft2(np.fft.rfft2(layer, shape) * turned, shape)[r, c] for layer in layers]
 
 
+def box_sums(layer: np.ndarray, k: int) -> np.ndarray:
+    """Sums over windows of 2k + 1 cells, cut at the edges: one axis after the other, by differences of running sums."""
+    for axis in (0, 1):
+        n = layer.shape[axis]
+        running = np.concatenate([np.zeros_like(layer.take([0], axis)), np.cumsum(layer, axis)], axis)
+        at = np.arange(n)
+        layer = running.take(np.minimum(at + k + 1, n), axis) - running.take(np.maximum(at - k, 0), axis)
+    return layer
+
+
 def _smooth(n: int) -> int:
     """The next number without prime factors over 5: transforms of it are fast."""
     while True:

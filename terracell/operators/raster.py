@@ -7,12 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terracell.functions import geometry as G
-from terracell.operators.kernels import cells_of_rings, inverse_distance, majority
+from terracell.operators.kernels import box_sums, cells_of_rings, inverse_distance, majority
 from terracell.schema import Grid
 
 #: Cells along a tile of kernels with a small reach.
@@ -87,31 +87,6 @@ def block_percent(cells: DataFrame, size: int, value: str = "v") -> DataFrame:
     return cells.groupBy(*by).agg(F.least(F.lit(100), F.floor(F.sum(value) * 100 / (size * size))).cast("int").alias("percent"))
 
 
-def completed(cells: DataFrame) -> DataFrame:
-    """cells with a row for every cell of their box; added cells have nulls and ``given`` false."""
-    box = cells.agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
-    grid = box.select(F.explode(F.sequence("r0", "r1")).alias("row"), "c0", "c1").select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
-    return grid.join(cells.withColumn("given", F.lit(True)), ["row", "col"], "left").withColumn("given", F.col("given").isNotNull())
-
-
-def focal_mean(cells: DataFrame, k: int, dense: bool = False) -> DataFrame:
-    """(row, col, v): mean of the known cells in the window of 2k + 1; two one-dimensional passes over sums and counts.
-
-    The second pass needs the first on every cell of the box, so absent cells
-    are completed; dense=True says that there are none and spares the join.
-    """
-    cells = cells.select("row", "col", "v")
-    full = cells.withColumn("given", F.lit(True)) if dense else completed(cells)
-
-    def passed(df: DataFrame, along: str, across: str) -> DataFrame:
-        w = Window.partitionBy(across).orderBy(along).rangeBetween(-k, k)
-        return df.select("row", "col", "given", F.sum("s").over(w).alias("s"), F.sum("n").over(w).alias("n"))
-
-    start = full.select("row", "col", "given", F.coalesce("v", F.lit(0.0)).alias("s"), F.col("v").isNotNull().cast("long").alias("n"))
-    both = passed(passed(start, "col", "row"), "row", "col")
-    return both.filter("given").select("row", "col", F.try_divide("s", "n").alias("v"))
-
-
 def by_tiles(cells: DataFrame, size: int, halo: int, kernel: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
     """Runs a kernel over tiles of about ``size`` cells that read a halo.
 
@@ -161,6 +136,18 @@ def gap_filled(cells: DataFrame, k: int) -> DataFrame:
     return _filled(cells, k, inverse_distance)
 
 
+def focal_mean(cells: DataFrame, k: int) -> DataFrame:
+    """(row, col, v): mean of the known cells in the window of 2k + 1 around each given cell; null where there is none."""
+
+    def mean(columns, row, col, core):
+        v = laid_out(columns["v"], row, col)
+        known = ~np.isnan(v)
+        sums, counts = (box_sums(layer, k)[row[core], col[core]] for layer in (np.where(known, v, 0.0), known.astype(float)))
+        return {"v": np.where(counts > 0.5, sums / np.maximum(counts, 1.0), np.nan)}
+
+    return by_tiles(cells.select("row", "col", "v"), max(TILE, k), k, mean, "v double")
+
+
 def masked(cells: DataFrame, mask: DataFrame, invert: bool = True) -> DataFrame:
     """Cells outside the mask; with invert=False those inside."""
     return cells.join(mask.select("row", "col"), ["row", "col"], "left_anti" if invert else "left_semi")

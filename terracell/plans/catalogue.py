@@ -212,6 +212,36 @@ def utm_forward(s, d):
     return p.select("id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
 
 
+@query("""SELECT id, round(greatest(0, least(x0+w, 6000)-greatest(x0, 2000))*greatest(0, least(y0+h, 7000)-greatest(y0, 1000)), 6) AS area FROM bld
+ WHERE x0<6000 AND x0+w>2000 AND y0<7000 AND y0+h>1000""")
+def clip_polygon(s, d):
+    c = _ring(_bld(s, d)).select("id", G.clip_ring(F.col("ring"), (2000, 1000, 6000, 7000)).alias("ring"))
+    return c.select("id", F.round(G.area(F.col("ring")), 6).alias("area")).filter("area > 0")
+
+
+_E = (2 * G._F - G._F**2) ** 0.5
+
+
+@query(f"""SELECT id, round(rho*sin(lam), 3) AS x, round(-rho*cos(lam), 3) AS y FROM (SELECT id, radians(lon+45) AS lam, {G._A!r}*m/t0*tan(pi()/4-phi/2)/power((1-{_E!r}*sin(phi))/(1+{_E!r}*sin(phi)), {_E!r}/2) AS rho FROM (
+ SELECT id, seq%360-180 AS lon, radians(60+seq%300/10.0) AS phi, cos(ts)/sqrt(1-{_E!r}*{_E!r}*sin(ts)*sin(ts)) AS m, tan(pi()/4-ts/2)/power((1-{_E!r}*sin(ts))/(1+{_E!r}*sin(ts)), {_E!r}/2) AS t0
+ FROM bld, (SELECT radians(70.0) AS ts)))""")
+def polar_stereographic(s, d):
+    p = _bld(s, d).select("id", G.polar_stereographic((F.col("seq") % 360 - 180).cast("double"), F.lit(60.0) + F.col("seq") % 300 / F.lit(10.0)).alias("p"))
+    return p.select("id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
+
+
+@query("""SELECT id, place::INT AS place, x1, y1, x2, y2 FROM (SELECT id, 0 AS place, x1, y1, (x1+x2)/2 AS x2, (y1+y2)/2 AS y2 FROM roads UNION ALL SELECT id, 1, (x1+x2)/2, (y1+y2)/2, x2, y2 FROM roads) WHERE x1<>x2 OR y1<>y2""")
+def line_segments(s, d):
+    from terracell.sources.vector import segments
+
+    def point(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    x1, y1, x2, y2 = (F.col(k) for k in ("x1", "y1", "x2", "y2"))
+    lines = _roads(s, d).select("id", F.array(F.array(point(x1, y1), point((x1 + x2) / 2, (y1 + y2) / 2), point(x2, y2))).alias("rings"))
+    return segments(lines).drop("line")
+
+
 def _lines(s, d):
     ends = [F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (1, 2)]
     return _roads(s, d).withColumn("line", F.array(*ends))

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracell.llm.shared import BROADCAST_ROWS, SPACE, discard, small, text_or_empty, written
+from terracell.llm.shared import BROADCAST_ROWS, SPACE, discard, share_join, small, text_or_empty, written
 
 #: Distinct hashes that a bucket holds before it is split.
 BUCKET_ENTRIES = 4_096
@@ -89,8 +89,12 @@ def owners(buckets: DataFrame, count: int) -> tuple[DataFrame, int]:
     return cells, depth
 
 
-def _index(hashed: DataFrame, hashes: DataFrame, bucket_entries: int) -> DataFrame:
-    """(hash, text_sha256, keep_id, group_size) of each text, from its owner's chain; no digest where no other row has the hash."""
+def _index(hashed: DataFrame, hashes: DataFrame, bucket_entries: int) -> tuple[DataFrame, int]:
+    """((hash, text_sha256, keep_id, group_size, weight) of each text, from its owner's chain, number of rows).
+
+    There is no digest where no other row has the hash; weight is the rows of
+    the whole chain.
+    """
     size = hashes.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count(F.when(F.col("rows") > 1, 1)).alias("shared"),
@@ -126,9 +130,10 @@ def _index(hashed: DataFrame, hashes: DataFrame, bucket_entries: int) -> DataFra
     # Both hashes equal, bytes different: never merged silently.
     texts = texts.groupBy("owner", "hash", "text_sha256").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
     sure = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share both hashes")).cast("long"))
-    index = written(texts.select("hash", "text_sha256", "keep_id", sure.alias("group_size")), "dedup-index")
+    chain_rows = F.sum("group_size").over(Window.partitionBy("owner", "hash"))
+    index = written(texts.select("hash", "text_sha256", "keep_id", sure.alias("group_size"), chain_rows.alias("weight")), "dedup-index")
     discard(buckets, cells)
-    return index
+    return index, size["rows"]
 
 
 def dedup_decisions(df: DataFrame, key: str = "doc_id", text: str = "text", bucket_entries: int = BUCKET_ENTRIES, fingerprint: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
@@ -146,14 +151,14 @@ def dedup_decisions(df: DataFrame, key: str = "doc_id", text: str = "text", buck
     rows = hashed.withColumn("text_sha256", F.sha2(F.col("body").cast("binary"), 256)).groupBy("doc_id", "hash", "text_sha256")
     rows = written(rows.agg(F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("body")).alias("bytes")), "dedup-rows")
     hashes = written(rows.groupBy("hash").agg(F.sum("copies").alias("rows"), F.min("doc_id").alias("keep_id"), F.max("bytes").cast("long").alias("bytes")), "dedup-hashes")
-    index = _index(hashed, hashes, bucket_entries)
+    index, total = _index(hashed, hashes, bucket_entries)
     discard(hashes)
 
     entries = index.withColumnRenamed("text_sha256", "chained_sha")
-    judged = rows.drop("bytes").join(entries, "hash").filter(F.col("chained_sha").isNull() | (F.col("chained_sha") == F.col("text_sha256")))
+    judged = share_join(rows.drop("bytes"), entries, ["hash"], total).filter(F.col("chained_sha").isNull() | (F.col("chained_sha") == F.col("text_sha256")))
     runs = judged.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN).cast("long"))))
     each = runs.withColumn("copy", F.explode(F.sequence(F.col("run"), F.least(F.col("run") + RUN, F.col("copies")) - 1)))
-    return each.select(
+    found = each.select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -161,6 +166,8 @@ def dedup_decisions(df: DataFrame, key: str = "doc_id", text: str = "text", buck
         "text_sha256",
         "copy",
     )
+    found.reads = (rows, index)
+    return found
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,7 +176,9 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     Only the decisions that drop a row meet the table again, by id and hash of
     the normalised text. Repeated rows, if there are any, shrink to one.
     """
-    judged = written(dedup_decisions(df, key, text), "dedup-judged")
+    decisions = dedup_decisions(df, key, text)
+    judged = written(decisions, "dedup-judged")
+    discard(*decisions.reads)
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
 
     def named(rows: DataFrame) -> DataFrame:
@@ -177,6 +186,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     dropped = written(named(judged.filter(~stays)), "dedup-dropped")
     repeated = written(named(judged.filter(stays & (F.col("copy") > 0))), "dedup-repeated")
+    discard(judged)
     rows = df.withColumn("__text", F.sha2(normalised(text).cast("binary"), 256))
     meets = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha"))
     rows = rows.join(small(dropped), meets, "left_anti")

@@ -94,7 +94,7 @@ HOT_SHARE = 1_000
 
 
 def share_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, how: str = "inner") -> DataFrame:
-    """rows joined to keyed, which has one row for each key and its number of rows, ``weight``, of ``total``.
+    """rows joined to keyed, which has for each key its number of rows, ``weight``, of ``total``, on all of the key's rows.
 
     Hot keys meet their row by broadcast, where their rows are; the others in a
     shuffle join, where no key has more than total / HOT_SHARE rows.

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from terracell.llm.components import components
 from terracell.llm.prefix_trie import Union, linked
 from terracell.llm.secrets import text_bytes
-from terracell.llm.shared import lean, release, share_join, slices, small, written
+from terracell.llm.shared import discard, lean, release, share_join, slices, small, written
 from terracell.llm.shingles import U, mixed, shingle_sets
 
 #: Frequent members that parts leave out, at most: a bound on what is broadcast; any choice gives the same links.
@@ -281,7 +281,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     described = written(described, "ngram-docs")
     docs = described.filter(F.col("token").isNull()).select("doc_id", "text_hash", "n", "one", "two")
     often = described.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("docs").alias("docs")).orderBy(F.desc("docs"), "token").limit(FREQUENT)
-    frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).astype(np.uint64))
+    frequent = np.sort(often.select("token").toArrow().column("token").to_numpy().astype(np.uint64))
 
     usable = docs.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     sets = written(usable.groupBy("n", "one", "two").agg(F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("weight")), "ngram-sets")
@@ -294,13 +294,15 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
 
     buckets = max(1, -(-size["members"] * 3 // 10 // TASK_SIGNATURES))
     dealt = apart.select("doc_id", "text").mapInArrow(_deal(words, frequent, levels, buckets), "bucket long, signatures binary, owners binary")
-    blocks = components(dealt.groupBy("bucket").applyInArrow(_meet, "a long, b long")).withColumnRenamed("component", "block")
+    met = components(dealt.groupBy("bucket").applyInArrow(_meet, "a long, b long"))
+    blocks = met.withColumnRenamed("component", "block")
 
     # Members by block decide how a block is dealt.
     sized = blocks.join(sets.select(F.col("set_id").alias("node"), "n"), "node").groupBy("block").agg(F.sum("n").alias("members"))
     chunks = sized.select("block", F.greatest(F.lit(1), F.ceil(F.col("members") * 2 / block_members)).cast("long").alias("chunks"), "members")
     chunks = written(chunks.withColumn("chunks", F.when(F.col("members") <= block_members, F.lit(1).cast("long")).otherwise(F.col("chunks"))), "ngram-chunks")
-    tasks = max(1, -(-(chunks.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]) // TASK_MEMBERS))
+    # Small blocks share places: as many as the cluster has partitions, or more where members ask for it.
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(chunks.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]) // TASK_MEMBERS))
     routed = written(blocks.join(chunks.drop("members"), "block").select(F.col("node").alias("doc_id"), "block", "chunks"), "ngram-routes")
 
     candidates = apart.join(small(routed), "doc_id").select("doc_id", "block", "chunks", "text")
@@ -319,10 +321,13 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     )
     links = candidates.groupBy("place", "left", "right").applyInArrow(_owner(percent), "a long, b long")
     reached = components(links)
+    discard(copies, met, chunks, routed)
 
     found = share_join(docs, sets, ["n", "one", "two"], size["rows"], "left").join(reached.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("set_id"), F.col("doc_id")))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("set_id"), F.col("doc_id"))).alias("set_id"))
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("set_id"), F.col("doc_id"))).alias("set_id"))
+    found.reads = (described, sets, reached)
+    return found
 
 
 def one_of_each(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -332,4 +337,6 @@ def one_of_each(df: DataFrame, words: int = 5, percent: int = 80, key: str = "do
     """
     found = near_duplicates(df, words, percent, key, text)
     others = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(small(written(others, "ngram-others")), F.col(key) == F.col("__id"), "left_anti")
+    others = written(others, "ngram-others")
+    discard(*found.reads)
+    return df.join(small(others), F.col(key) == F.col("__id"), "left_anti")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terracell.llm.shared import lean, slices
+from terracell.llm.shared import lean, release, slices
 
 #: The fit's bound: so many labelled documents of each class at most, the first by hash of their id, of at most so many characters.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 2_000, 4_000, 20_000
@@ -170,7 +170,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # A repeated id is one document, the least of its texts; so at most TRAIN_* rows come here.
     rows = rows.groupBy(F.col(key).alias("__key")).agg(F.min(text).alias("__text"))
     rows = sorted((int(r[0]), r[1]) for r in rows.collect())
-    return fit([t for _, t in rows], [known[i] for i, _ in rows])
+    model = fit([t for _, t in rows], [known[i] for i, _ in rows])
+    del rows
+    release()
+    return model
 
 
 def score_documents(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracell.llm.shared import written
+from terracell.llm.shared import discard, written
 
 #: Edges of a point; beam while building and searching; relaxation in the last pass.
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 128, 1.2
-#: Points of a shard, on average at most; of a shelf; shelves that a large enough table gets at least.
-SHARD_POINTS, SHELF_POINTS, SHELVES = 2_000, 100_000, 8
+#: Points of a shard, on average at most; bytes of a shelf, about; shelves that a large enough table gets at least.
+SHARD_POINTS, SHELF_BYTES, SHELVES = 2_000, 64 << 20, 8
 #: Ratio of the norms in a band. Doubles have at most some 15,000 bands, which bounds their broadcast.
 BAND = 1.2
 #: Points moved together; queries that one search task holds, about.
@@ -217,9 +217,10 @@ def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarr
             ids[k, : len(best)], scores[k, : len(best)] = candidate[best], found[best]
 
 
-def dealt(total: int) -> tuple[int, int]:
-    """(shelves, shards) for so many rows of a band."""
-    return max(min(SHELVES, -(-total // 1000)), -(-total // SHELF_POINTS), 1), max(min(SHELVES, -(-total // 1000)), -(-total // SHARD_POINTS), 1)
+def dealt(total: int, dim: int = 64) -> tuple[int, int]:
+    """(shelves, shards) for so many vectors of so many components: a point takes its vector, its edges and its ids."""
+    least = max(1, min(SHELVES, -(-total // 1000)))
+    return max(least, -(-total * (8 * dim + 4 * DEGREE + 8 * (NEIGHBOURS + 1)) // SHELF_BYTES)), max(least, -(-total // SHARD_POINTS))
 
 
 def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -234,8 +235,8 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     """
     rows = df.filter(F.col(key).isNotNull() & _usable(vector)).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), is_query.alias("asks"))
     rows = written(rows.withColumn("band", band("vector")), "ann-rows")
-    total = rows.count()
-    shelves, _ = dealt(total)
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size("vector")), F.lit(1)).alias("dim")).first()
+    shelves, _ = dealt(size["rows"], size["dim"])
     # Shards are numbered through all bands: at most one partly filled shard more for each band.
     sizes = rows.groupBy("band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(SHARD_POINTS)), F.least(F.lit(SHELVES), F.ceil(F.count(F.lit(1)) / 1000))).alias("shards"))
     before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
@@ -244,6 +245,7 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     points = points.select("id", "shard", "vector").mapInArrow(_packed, "shard int, vector binary, ids array<long>")
     points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shelf": F.pmod("shard", F.lit(shelves)).cast("int")})
     index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, start long, vectors binary, graph binary, ids binary"), "ann-index")
+    discard(sizes)
 
     # Rows of one id that differ are one query: the least vector.
     asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(_binary, "query_id long, vector binary")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracell.llm.shared import WORD, text_or_empty, written
+from terracell.llm.shared import WORD, discard, text_or_empty, written
 
 #: Bits of the hash for each level of the histogram; together 30.
 LEVELS = (10, 10, 10)
@@ -61,7 +61,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 
 def thresholds(narrow: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, source_size, target, whole, threshold) from (source, place, size) and the targets.
+    """(source, source_size, target, whole, threshold) from (source, place, size) and the targets, a written table that goes.
 
     ``whole`` is how often every document of the source is taken; those with a
     place below ``threshold`` are taken once more. The threshold is the cell
@@ -89,7 +89,8 @@ def thresholds(narrow: DataFrame, targets: DataFrame) -> DataFrame:
         cell = F.coalesce(F.col("edge.cell"), F.shiftleft(F.col("prefix") + 1, bits))
         if last:
             cell = cell + F.when(F.col("edge").isNotNull() & (rest * 2 > F.col("edge.size")), 1).otherwise(0)
-        state = written(joined.select("source", "source_size", "target", "whole", rest.alias("rest"), cell.alias("prefix")), f"mix-level{n}")
+        before, state = state, written(joined.select("source", "source_size", "target", "whole", rest.alias("rest"), cell.alias("prefix")), f"mix-level{n}")
+        discard(*([before] if n else [targets]))
     return state.select("source", "source_size", "target", "whole", F.col("prefix").alias("threshold"))
 
 
@@ -122,6 +123,7 @@ def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sizes, **kw), "mix-targets")
     found = thresholds(narrow, targets).select(F.col("source").alias("__of"), F.col("whole").alias("__whole"), F.col("threshold").alias("__threshold"))
+    discard(narrow)
     rows = df.join(found, F.col(source).cast("string").eqNullSafe(F.col("__of")), "left")
     times = F.col("__whole") + F.when(place(F.col(key)) < F.col("__threshold"), 1).otherwise(0)
     return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*df.columns)

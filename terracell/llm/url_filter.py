@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracell.llm.shared import small, written
+from terracell.llm.shared import discard, small, written
 
 #: (verdict, host and path): a rule fits its host and all subdomains, where the path starts with the rule's.
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -136,7 +136,9 @@ def split_labels(named: DataFrame, counts: DataFrame, block_labels: int = BLOCK_
         return pa.table({"label": pa.array(listed, pa.string()), "words": pa.array([list(segmenter.split(x)) for x in listed], pa.list_(pa.string()))})
 
     cut = named.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(split, "label string, words array<string>")
-    return written(cut, "url-labels")
+    cut = written(cut, "url-labels")
+    discard(candidates)
+    return cut
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +153,9 @@ def host_words(rows: DataFrame, counts: DataFrame, block_labels: int = BLOCK_LAB
     cut = split_labels(named, counts, block_labels)
     joined = hosts.select("host", F.posexplode("labels").alias("place", "label")).join(small(cut), "label")
     words = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("place", "words"))), lambda x: x["words"]))
-    return written(joined.groupBy("host").agg(words.alias("words")), "url-host-words")
+    found = written(joined.groupBy("host").agg(words.alias("words")), "url-host-words")
+    discard(hosts, named, cut)
+    return found
 
 
 def evidence(allow: int, block: int, totals: tuple[int, int]) -> float:
@@ -183,7 +187,9 @@ def learn(rows: DataFrame) -> tuple[float, DataFrame]:
             own = [evidence(a, b, totals) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64())], names=["token", "evidence"])
 
-    return prior, written(named.mapInArrow(weigh, "token string, evidence double"), "url-evidence")
+    known = written(named.mapInArrow(weigh, "token string, evidence double"), "url-evidence")
+    discard(counts)
+    return prior, known
 
 
 OUT = "page_id long, host string, path string, rule string, verdict string, block_odds double, words string"
@@ -192,6 +198,8 @@ OUT = "page_id long, host string, path string, rule string, verdict string, bloc
 def judge(rows: DataFrame, prior: float, known: DataFrame, held: int = HELD_TOKENS) -> DataFrame:
     """One row per row of rows: page_id, host, path, rule, verdict, block_odds, words. Unknown tokens say nothing.
 
+    Repeated rows give repeated results, an empty table none.
+
     With more than held tokens each row's tokens are joined to their evidence;
     sums are exactly rounded, so both ways give the same odds.
     """
@@ -237,6 +245,8 @@ def filter_urls(pages: DataFrame, rules=tuple(RULES), key: str = "page_id", url:
 
     asked = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"))
     rows = written(asked.mapInArrow(read, "row long, page_id long, host string, path string, rule string, ruled string"), "url-rows")
-    words = host_words(rows, word_counts(pages), block_labels)
+    counts = word_counts(pages)
+    words = host_words(rows, counts, block_labels)
+    discard(counts)
     rows = rows.join(small(words), "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     return judge(rows, *learn(rows), held)

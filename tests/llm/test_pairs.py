@@ -147,7 +147,7 @@ def test_recall_on_vectors_spread_evenly(spark):
     assert hit / (100 * 20) >= 0.985
     for rows in (900, 2_100, 51_282, 10**6, 10**9):
         shelves, shards = ann.dealt(rows)
-        assert rows / shards <= 2_000 and rows / shelves <= 100_000
+        assert rows / shards <= 2_000 and rows / shelves <= 100_000 and ann.dealt(rows, 6400)[0] >= shelves
 
 
 def test_recall_on_unequal_norms(spark):
@@ -182,6 +182,17 @@ def test_combined_signatures_keep_components():
     assert (few == 7).sum() == 1
 
 
+def test_intermediate_tables_go(spark):
+    from terracell.llm import shared
+
+    df = spark.createDataFrame([(k, f"a b c d e f {k % 7}") for k in range(60)], "doc_id long, text string").withColumn("source", F.lit("s"))
+    for operate, stay in ((ngram_join.one_of_each, 1), (exact_dedup.deduplicated, 2), (mixing.mixed_rows, 1)):
+        before = set(shared._left)
+        assert operate(df).count() > 0
+        left = set(shared._left) - before
+        assert len(left) == stay, left
+
+
 def test_every_operator_is_registered():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]

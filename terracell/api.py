@@ -22,7 +22,7 @@ from terracell.plans.catalogue import CATEGORICAL, NUMERIC
 from terracell.schema import Grid
 from terracell.sources import cells as tables
 from terracell.sources import store, vector
-from terracell.sources.geotiff import geotiff_grids, on_grid, read_geotiff
+from terracell.sources.geotiff import on_grid, read_mosaic
 
 #: Properties that are read from GeoJSON layers.
 PROPERTIES = T.StructType(
@@ -55,14 +55,7 @@ def read_layer(spark: SparkSession, path: str, crs_code: int | None = None) -> D
 def read_raster(spark: SparkSession, path: str, band: int | str = 1) -> tuple[DataFrame, Grid]:
     """((row, col, v), grid) of a cell table or of GeoTIFF files, which become one mosaic on the first one's cells."""
     if path.endswith((".tif", ".tiff")):
-        files = geotiff_grids(spark, path)
-        first = files[0][1]
-        west, north = min(g.west for _, g, _, _ in files), max(g.north for _, g, _, _ in files)
-        ncol = round((max(g.west + g.ncol * g.res for _, g, _, _ in files) - west) / first.res)
-        nrow = round((north - min(g.north - g.nrow * g.res for _, g, _, _ in files)) / first.res)
-        whole = Grid(west, north, first.res, nrow, ncol, first.epsg)
-        every = read_geotiff(spark, path, [int(band)]).withColumnRenamed(f"b{band}", "v")
-        return raster.mosaic([on_grid(every.filter(F.col("path") == p), g, whole).drop("path") for p, g, _, _ in files]), whole
+        return read_mosaic(spark, path, int(band))
     text = store.read_text(spark, f"{path}/_grid.json")
     if text is None:
         raise FileNotFoundError(f"{path} has no grid")

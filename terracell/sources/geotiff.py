@@ -196,15 +196,45 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def on_grid(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
-    """Cells of a grid as cells of another with the same resolution and reference, whose corner is a whole number of cells away."""
+def offset(source: Grid, target: Grid) -> tuple[int, int]:
+    """(down, right): where the source's first cell lies on the target, whose cells must be the same but for a whole number of them."""
     down, right = (target.north - source.north) / source.res, (source.west - target.west) / source.res
     if source.res != target.res or abs(down - round(down)) > 1e-6 or abs(right - round(right)) > 1e-6:
         raise ValueError("the grids do not lie on each other: resample instead")
-    moved = cells.withColumns({"row": F.col("row") + round(down), "col": F.col("col") + round(right)})
+    return round(down), round(right)
+
+
+def on_grid(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
+    """Cells of a grid as cells of another, see ``offset``; those outside are left out."""
+    down, right = offset(source, target)
+    moved = cells.withColumns({"row": F.col("row") + down, "col": F.col("col") + right})
     return moved.filter((F.col("row") >= 0) & (F.col("row") < target.nrow) & (F.col("col") >= 0) & (F.col("col") < target.ncol))
 
 
+def read_mosaic(spark: SparkSession, path: str, band: int = 1) -> tuple[DataFrame, Grid]:
+    """((row, col, v), grid) of all files that the path or glob matches: of files on one cell the first by path that knows it.
+
+    One plan for any number of files: a row for each file, with its place and
+    rank, is broadcast. Files on other cells than the first one's raise
+    ValueError.
+    """
+    files = geotiff_grids(spark, path)
+    first = files[0][1]
+    west, north = min(g.west for _, g, _, _ in files), max(g.north for _, g, _, _ in files)
+    ncol = round((max(g.west + g.ncol * g.res for _, g, _, _ in files) - west) / first.res)
+    nrow = round((north - min(g.north - g.nrow * g.res for _, g, _, _ in files)) / first.res)
+    whole = Grid(west, north, first.res, nrow, ncol, first.epsg)
+    if any(g.epsg != first.epsg for _, g, _, _ in files):
+        raise ValueError("the files are in different reference systems")
+    cells = read_geotiff(spark, path, [band]).withColumnRenamed(f"b{band}", "v")
+    if len(files) == 1:
+        return cells.select("row", "col", "v"), whole
+    places = spark.createDataFrame([(p, n, *offset(g, whole)) for n, (p, g, _, _) in enumerate(files)], "path string, n int, down int, right int")
+    moved = cells.filter(F.col("v").isNotNull()).join(F.broadcast(places), "path")
+    moved = moved.select((F.col("row") + F.col("down")).alias("row"), (F.col("col") + F.col("right")).alias("col"), "v", "n")
+    return moved.groupBy("row", "col").agg(F.min_by("v", "n").alias("v")), whole
+
+
 def to_geotiff(df: DataFrame, path: str, grid: Grid, bands: list[str], nodata: float = -1.0, compress: bool = True, most: int = 50_000_000) -> None:
     """Writes a small raster as a float32 GeoTIFF on the driver, deflated in strips, with the bands' names as descriptions.
 

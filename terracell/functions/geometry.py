@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from terracell.operators.kernels import smallest_boxes
+from terracell.operators.kernels import clip_rings, smallest_boxes
 
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -179,27 +179,10 @@ def polar_stereographic(lon: Column, lat: Column, lon0: float = -45.0, true_scal
 
 
 def clip_ring(ring: Column, box: tuple) -> Column:
-    """The part of a ring inside a closed box (Sutherland and Hodgman, one side after another); empty outside.
+    """The part of a ring inside a closed box (west, south, east, north); empty outside, null for a null ring."""
 
-    Concave rings may keep coincident edges along the box, which add no area.
-    """
-    west, south, east, north = (F.lit(float(v)) for v in box)
-
-    def cut(points: Column, axis: str, limit: Column, keep_above: bool) -> Column:
-        def inside(p):
-            return p[axis] >= limit if keep_above else p[axis] <= limit
-
-        def meet(a, b):
-            s = F.try_divide(limit - a[axis], b[axis] - a[axis])
-            return F.struct((a["x"] + s * (b["x"] - a["x"])).alias("x"), (a["y"] + s * (b["y"] - a["y"])).alias("y"))
-
-        def side(edge):
-            a, b = edge["a"], edge["b"]
-            end = F.struct(b["x"].alias("x"), b["y"].alias("y"))
-            return F.when(inside(a) & inside(b), F.array(end)).when(inside(a), F.array(meet(a, b))).when(inside(b), F.array(meet(a, b), end)).otherwise(F.slice(F.array(end), 1, 0))
-
-        return F.flatten(F.transform(_edges(points), side))
+    @F.arrow_udf("array<struct<x:double,y:double>>")
+    def clipped(rings: pa.Array) -> pa.Array:
+        return clip_rings(rings, box)
 
-    for axis, limit, above in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
-        ring = cut(ring, axis, limit, above)
-    return ring
+    return clipped(ring)

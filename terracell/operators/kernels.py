@@ -34,10 +34,15 @@ def ring_arrays(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         ends = np.concatenate(([0], np.cumsum(inner)))
         lengths = np.diff(ends[np.concatenate(([0], np.cumsum(lengths)))])
     x, y = (pc.struct_field(points, k).cast(pa.float64()).to_numpy(zero_copy_only=False) for k in ("x", "y"))
-    follows = np.arange(len(x)) + 1
-    some = inner[inner > 0]
+    return lengths, x, y, _follows(inner)
+
+
+def _follows(lengths: np.ndarray) -> np.ndarray:
+    """Of each point the next of its ring; the last leads back to the first."""
+    some = lengths[lengths > 0]
+    follows = np.arange(int(some.sum())) + 1
     follows[np.cumsum(some) - 1] = np.cumsum(some) - some
-    return lengths, x, y, follows
+    return follows
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +113,30 @@ def smallest_boxes(rings: pa.Array, step: int = 5) -> pa.StructArray:
     return pa.StructArray.from_arrays(columns, names=["key", "angle", "length", "width"], mask=pa.array(~some))
 
 
+def clip_rings(rings: pa.Array, box: tuple[float, float, float, float]) -> pa.ListArray:
+    """The part of each ring inside a closed box (west, south, east, north), one side after another (Sutherland and Hodgman); empty outside.
+
+    Concave rings may keep coincident edges along the box, which add no area.
+    """
+    lengths, x, y, follows = ring_arrays(rings)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    west, south, east, north = box
+    for axis, limit, above in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
+        bx, by = x[follows], y[follows]
+        a, b = (x, bx) if axis == "x" else (y, by)
+        starts_in, ends_in = (a >= limit, b >= limit) if above else (a <= limit, b <= limit)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = (limit - a) / (b - a)
+            meets = np.column_stack([x + s * (bx - x), bx]).ravel(), np.column_stack([y + s * (by - y), by]).ravel()
+        kept = np.column_stack([starts_in != ends_in, ends_in]).ravel()  # where an edge crosses the side, then its end
+        x, y, owner = meets[0][kept], meets[1][kept], np.repeat(owner, 2)[kept]
+        lengths = np.bincount(owner, minlength=len(lengths))
+        follows = _follows(lengths)
+    points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, points, mask=rings.is_null())
+
+
 def disc(k: int) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (i, j) with i * i + j * j <= k * k, by row and column."""
     i, j = np.mgrid[-k : k + 1, -k : k + 1]

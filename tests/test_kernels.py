@@ -130,3 +130,17 @@ def test_resampling_methods(spark):
     moved = raster.reprojected(cells, Grid(0.0, 20.0, 1.0, 20, 20), Grid(0.0, 44.0, 2.0, 22, 20), lambda x, y: F.struct((x / 2).alias("x"), (y / 2).alias("y")))
     got = {(r.row, r.col): r.v for r in moved.collect()}
     assert len(got) == 440 and all(got[r, c] is None for r in (0, 1) for c in range(20)) and all(got[r, c] == 2.0 * (r - 2) + 3.0 * c for r in range(2, 22) for c in range(20))
+
+
+def test_clip_rings():
+    def ring(*points):
+        return [{"x": float(x), "y": float(y)} for x, y in points]
+
+    square, far, across = ring((0, 0), (4, 0), (4, 4), (0, 4)), ring((9, 9), (10, 9), (9, 10)), ring((-1, 1), (5, 1), (5, 3), (-1, 3))
+    column = pa.concat_arrays([pa.array([square]), pa.array([None, square, [], far, across])]).slice(1)
+    got = kernels.clip_rings(column, (1.0, 0.0, 3.0, 2.0)).to_pylist()
+    assert got[0] is None and got[2] == [] and got[3] == []
+    for ring_, wanted in ((got[1], 4.0), (got[4], 2.0)):
+        x, y = [p["x"] for p in ring_], [p["y"] for p in ring_]
+        area = sum(x[k] * y[(k + 1) % len(x)] - x[(k + 1) % len(x)] * y[k] for k in range(len(x))) / 2
+        assert abs(area - wanted) < 1e-12 and min(x) >= 1 and max(x) <= 3 and min(y) >= 0 and max(y) <= 2

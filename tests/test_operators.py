@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from terracell.functions import geometry as G
 from terracell.functions.hull import hull
 from terracell.operators import distance, features, ml, raster, tin
-from terracell.plans import urban
+from terracell.plans import dem, urban
 from terracell.plans.dem import road_terrain
+from terracell.schema import Grid
 
 
 def values(df, *cols):
@@ -160,3 +161,47 @@ def test_model_errors_and_prediction(spark):
         ml.train(df.limit(0), ["area"], ["class"])
     found = ml.predict(df, ml.train(df, ["area"], ["class"], iterations=2, depth=2), ["area"], ["class"])
     assert found.filter("predicted = 1").count() == 12 and found.filter("calc_height is null").count() == 0
+
+
+def test_search_assessment_and_importances(spark, tmp_path):
+    rows = [(float(k % 11), float(k % 3), "ab"[k % 2], float(k % 11 * 2 + 1)) for k in range(150)]
+    df = spark.createDataFrame(rows, "area double, noise double, class string, calc_height double")
+    found = ml.tune(df, ["area", "noise"], ["class"], draws=3, folds=2, grid={"depth": [1, 3], "iterations": [2, 4], "rate": [0.3]})
+    params = ml.best(found)
+    assert found.count() == 3 and params["rate"] == 0.3 and found.filter(F.col("rmse") < found.agg(F.min("rmse")).first()[0]).count() == 0
+    path = (tmp_path / "params.json").as_uri()
+    ml.save_params(spark, params, path)
+    assert ml.load_params(spark, path) == params
+    with pytest.raises(FileNotFoundError):
+        ml.load_params(spark, path + "x")
+    splits = ml.assess(df, ["area", "noise"], ["class"], splits=3, iterations=8, depth=3, rate=0.3)
+    means = {r.part: r for r in ml.assessment(splits).collect()}
+    assert splits.count() == 6 and set(means) == {"train", "test"} and means["test"].r2 > 0.9 and 0 <= means["test"].mape < 60
+    each = [r.rmse for r in splits.filter("part = 'test'").collect()]
+    assert abs(sum(each) / 3 - means["test"].rmse) < 1e-12
+    ranked = ml.importances(ml.train(df, ["area", "noise"], ["class"], iterations=4, depth=2), ["area", "noise"], ["class"]).collect()
+    assert [r["rank"] for r in ranked] == [1, 2, 3] and ranked[0].name == "area" and abs(sum(r.importance for r in ranked) - 1) < 1e-9
+
+
+def test_kinds_of_elevation_data(spark):
+    grid = Grid(100.0, 200.0, 10.0, 20, 20)
+    flat = spark.range(400).selectExpr("CAST(id DIV 20 AS INT) AS row", "CAST(id % 20 AS INT) AS col", "5.0D AS v")
+    lines = spark.createDataFrame([(1, 150.0, 150.0, 200.0, 100.0)], "id int, x1 double, y1 double, x2 double, y2 double")
+    near = dem.near_roads([flat.filter("col < 12"), flat.withColumn("v", F.lit(9.0))], lines, grid, 10.0)
+    got = {(r.row, r.col): r.v for r in near.collect()}
+    assert set(got) == {(r, c) for r in range(4, 11) for c in range(4, 11)} and set(got.values()) == {5.0}
+    bare = flat.withColumn("v", F.when(F.col("row") > 3, 2.0))
+    assert {r.v for r in dem.elevation_raster("fabdem", [bare], grid, surface=flat).collect()} == {3.0}
+    assert dem.elevation_raster("fabdem", [bare], grid, surface=flat, use_difference=False).count() == 400
+    for kind, given in (("fabdem", {"tiles": []}), ("arcticdem", {"tiles": [flat]}), ("lidar", {"tiles": [flat]})):
+        with pytest.raises(ValueError):
+            dem.elevation_raster(kind, grid=grid, **given)
+
+
+def test_long_segments_enter_the_bins_that_they_pass(spark):
+    draw = np.random.default_rng(6)
+    rows = [(k, *map(float, draw.integers(0, 1000, 4) + (0.5 if k % 4 else 0.0))) for k in range(120)] + [(500, 0.0, 0.0, 1000.0, 1000.0), (501, 0.0, 1000.0, 1000.0, 0.0), (502, 100.0, 0.0, 100.0, 1000.0), (503, 0.0, 300.0, 1000.0, 300.0)]
+    lines = spark.createDataFrame(rows, "id int, x1 double, y1 double, x2 double, y2 double")
+    assert features.walked(lines.filter("id = 500"), 10.0).count() <= 4 * 101  # of 101 x 101 bins of its box
+    pairs = lambda size: sorted((r.id1, r.id2, round(r.x, 6), round(r.y, 6)) for r in features.segment_crossings(lines, size).collect())
+    assert pairs(50.0) == pairs(7.0) == pairs(5000.0) and len(pairs(50.0)) > 100 and (500, 501, 500.0, 500.0) in pairs(50.0)

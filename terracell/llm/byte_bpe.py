@@ -27,9 +27,7 @@ from terracell.llm.shared import lean, slices
 #: Keys in a bucket of the perfect hash, on average.
 LOAD = 4
 #: Pre-tokens whose ids a worker remembers in a generation; beyond that the generation before is forgotten.
-MEMO = 120_000
-#: Text that is encoded at a time: Arrow holds its units, so a slice may be larger than where Python does.
-ENCODED_BYTES = 4 << 20
+MEMO = 100_000
 #: The first links of short pre-tokens.
 NEXT, LAST = list(range(1, 257)), list(range(-1, 255))
 
@@ -255,7 +253,7 @@ def encode_documents(df: DataFrame, codec: Codec, key: str = "doc_id", text: str
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, ENCODED_BYTES):
+        for batch in slices(batches, 1):
             offsets, ids = codec.encode_column(batch.column(1).fill_null(""))
             columns = {"doc_id": batch.column(0), "token_ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
             if decode:
@@ -281,7 +279,7 @@ def decode_documents(df: DataFrame, codec: Codec) -> DataFrame:
 
 def digests(decoded: DataFrame) -> DataFrame:
     """The contract's columns, from the operator's ids and bytes."""
-    listed = F.regexp_replace(F.col("token_ids").cast("string"), r"[\[\] ]", "")
+    listed = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

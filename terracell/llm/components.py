@@ -25,16 +25,15 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(edges.select(F.col("low").alias("node"), F.col("high").alias("other")))
         least = both.groupBy("node").agg(F.min("other").alias("least"), F.count(F.lit(1)).alias("weight")).select("node", F.least("node", "least").alias("root"), "weight")
-        least = written(least, "large-roots")
         large = share_join(both.filter(F.col("other") > F.col("node")), least, ["node"], 2 * count).select(F.col("other").alias("high"), F.col("root").alias("low"))
         large = written(large.distinct(), "large-star")
-        root = written(large.groupBy("high").agg(F.min("low").alias("root"), F.count(F.lit(1)).alias("weight")).withColumnRenamed("high", "node"), "small-roots")
+        root = large.groupBy("high").agg(F.min("low").alias("root"), F.count(F.lit(1)).alias("weight")).withColumnRenamed("high", "node")
         turned = share_join(large.withColumnRenamed("high", "node"), root, ["node"], 2 * count)
         small = turned.select(F.greatest("low", "root").alias("high"), F.least("low", "root").alias("low")).unionByName(root.select(F.col("node").alias("high"), F.col("root").alias("low")))
         after = written(small.filter(F.col("high") != F.col("low")).distinct(), "small-star")
         more = after.count()
         same = more == count and after.join(edges, ["high", "low"], "left_anti").isEmpty()
-        discard(least, large, root, edges)
+        discard(large, edges)
         edges, count = after, more
         if same:
             break

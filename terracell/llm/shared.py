@@ -97,7 +97,9 @@ def share_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, how
     """rows joined to keyed, which has for each key its number of rows, ``weight``, of ``total``, on all of the key's rows.
 
     Hot keys meet their row by broadcast, where their rows are; the others in a
-    shuffle join, where no key has more than total / HOT_SHARE rows.
+    shuffle join, where no key has more than total / HOT_SHARE rows. keyed is
+    read three times, so it is a written table or an aggregate, whose exchange
+    Spark reuses.
     """
     hot = F.col("weight") * HOT_SHARE > total
     few = F.broadcast(keyed.filter(hot).drop("weight"))

@@ -182,6 +182,19 @@ def test_combined_signatures_keep_components():
     assert (few == 7).sum() == 1
 
 
+def test_share_join_is_a_join(spark, monkeypatch):
+    from terracell.llm import shared
+
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 2, k) for k in range(200)] + [(None, -1), (99, -2)], "key int, v int")
+    keyed = rows.filter("key is not null and key <> 99").groupBy("key").agg(F.count(F.lit(1)).alias("weight")).withColumn("name", F.concat(F.lit("n"), F.col("key")))
+    for share in (1, 3, 1000):
+        monkeypatch.setattr(shared, "HOT_SHARE", share)
+        for how in ("inner", "left"):
+            got = shared.share_join(rows, keyed, ["key"], 202, how).select("key", "v", "name").collect()
+            want = rows.join(keyed.drop("weight"), ["key"], how).select("key", "v", "name").collect()
+            assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == (202 if how == "left" else 200)
+
+
 def test_intermediate_tables_go(spark):
     from terracell.llm import shared
 

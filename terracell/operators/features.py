@@ -139,7 +139,7 @@ def segment_crossings(lines: DataFrame, size: float) -> DataFrame:
     a = at.select("bx", "by", *[F.col(c).alias(f"a_{c}") for c in lines.columns])
     b = at.select("bx", "by", *[F.col(c).alias(f"b_{c}") for c in lines.columns])
     ends = [tuple(F.col(f"{s}_{k}") for k in ("x1", "y1", "x2", "y2")) for s in "ab"]
-    met = a.join(b, ["bx", "by"]).filter(F.col("a_id") < F.col("b_id")).select("bx", "by", F.col("a_id").alias("id1"), F.col("b_id").alias("id2"), G.crossing(*ends).alias("p"))
+    met = a.join(b, ["bx", "by"]).filter(F.col("a_id") < F.col("b_id")).select("bx", "by", F.col("a_id").alias("id1"), F.col("b_id").alias("id2"), F.explode(F.array(G.crossing(*ends))).alias("p"))  # exploded, so that it is reckoned once
     here = (F.floor(F.col("p.x") / size) == F.col("bx")) & (F.floor(F.col("p.y") / size) == F.col("by"))
     return met.filter(F.col("p").isNotNull() & here).select("id1", "id2", "p.x", "p.y")
 

@@ -60,11 +60,20 @@ def touched(lines: DataFrame, west: float, north: float, res: float, ncol: int,
     def index(v: Column, most: int) -> Column:
         return F.greatest(F.lit(0), F.least(F.lit(most - 1), F.floor(v).cast("int")))
 
-    r = F.col("radius")
+    r, x1, y1, x2, y2 = (F.col(k) for k in ("radius", "x1", "y1", "x2", "y2"))
     # A cell more each way: a buffer may end on a cell's border.
-    cols = F.sequence(index((F.least("x1", "x2") - r - west) / res - 1, ncol), index((F.greatest("x1", "x2") + r - west) / res + 1, ncol))
-    rows = F.sequence(index((north - F.greatest("y1", "y2") - r) / res - 1, nrow), index((north - F.least("y1", "y2") + r) / res + 1, nrow))
-    at = lines.withColumn("row", F.explode(rows)).withColumn("col", F.explode(cols))
+    rows = F.sequence(index((north - F.greatest(y1, y2) - r) / res - 1, nrow), index((north - F.least(y1, y2) + r) / res + 1, nrow))
+    at = lines.withColumn("row", F.explode(rows))
+    # Of each row the columns under the part of the line that is at most the radius above or below it.
+    high, low = north - F.col("row") * res + r, north - (F.col("row") + 1) * res - r
+
+    def across(y: Column) -> Column:
+        return x1 + F.try_divide((x2 - x1) * (y - y1), y2 - y1)
+
+    ends = [across(F.greatest(F.least(y1, y2), F.least(F.greatest(y1, y2), y))) for y in (low, high)]
+    level = y1 == y2
+    start, stop = F.when(level, F.least(x1, x2)).otherwise(F.least(*ends)), F.when(level, F.greatest(x1, x2)).otherwise(F.greatest(*ends))
+    at = at.withColumn("col", F.explode(F.sequence(index((start - r - west) / res - 1, ncol), index((stop + r - west) / res + 1, ncol))))
     left, top = west + F.col("col") * res, north - F.col("row") * res
     d2 = G.segment_box_distance2(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), (left, top - res, left + res, top))
     return at.filter(d2 <= r * r).select("row", "col").distinct()

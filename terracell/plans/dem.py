@@ -43,7 +43,7 @@ def elevation_raster(kind: str, tiles: list[DataFrame], grid: Grid, lines: DataF
 def building_elevations(buildings: DataFrame, elevation: DataFrame, grid: Grid, radius: float = 200.0, least: int = 2) -> DataFrame:
     """(id, max_value): the highest cell in each building's ring; where that is unknown or negative, by its neighbours (see ``tiered_heights``)."""
     cells = raster.covered(buildings.select("id", "ring"), grid.west, grid.north, grid.res, grid.ncol, grid.nrow)
-    top = cells.join(elevation, ["row", "col"]).groupBy("id").agg(F.max("v").alias("v"))
+    top = raster.on_cells(cells, elevation, grid.ncol * grid.nrow).groupBy("id").agg(F.max("v").alias("v"))
     at = buildings.select("id", centroid(F.col("ring")).alias("c")).select("id", "c.x", "c.y").join(top, "id", "left")
     return features.tiered_heights(at, radius, least).select("id", F.col("value").alias("max_value"))
 

@@ -40,6 +40,9 @@ class Urban:
         g = self.grid
         return raster.covered(df, g.west, g.north, g.res, g.ncol, g.nrow, reach=reach)
 
+    def on_cells(self, features: DataFrame, cells: DataFrame) -> DataFrame:
+        return raster.on_cells(features, cells, self.grid.nrow * self.grid.ncol)
+
     def cells(self) -> DataFrame:
         g = self.grid
         return self.spark.range(g.nrow * g.ncol).select(F.floor(F.col("id") / g.ncol).cast("int").alias("row"), (F.col("id") % g.ncol).cast("int").alias("col"))
@@ -63,7 +66,7 @@ class Urban:
     def width_features(self) -> dict:
         width = self.cells().join(self.kept("canyons_first").select("row", "col", F.col("width").alias("v")), ["row", "col"], "left")
         smooth = raster.focal_mean(raster.gap_filled(width, self.options.get("fill", 50)), self.options.get("smooth", 100))
-        means = self.covered(self.read("buildings")).join(smooth, ["row", "col"]).groupBy("id").agg(F.avg(F.nullif("v", F.lit(0.0))).alias("width_med"))
+        means = self.on_cells(self.covered(self.read("buildings")), smooth).groupBy("id").agg(F.avg(F.nullif("v", F.lit(0.0))).alias("width_med"))
         return self.keep(smooth, "width") | self.keep(means, "buildings_width")
 
     def _lines(self) -> DataFrame:
@@ -84,7 +87,7 @@ class Urban:
     def lcz_features(self) -> dict:
         kept = self.read("lcz_cells").select("row", "col", F.when(~F.col("v").isin(list(range(11, 18))), F.col("v").cast("double")).alias("v"))
         clean = raster.gap_filled(kept, self.options.get("lcz_fill", 1000)).select("row", "col", F.round("v").alias("v"))
-        counts = self.covered(self.read("buildings"), self.options.get("lcz_reach", 100.0)).join(clean.filter("v IS NOT NULL"), ["row", "col"]).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = self.on_cells(self.covered(self.read("buildings"), self.options.get("lcz_reach", 100.0)), clean.filter("v IS NOT NULL")).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
         best = counts.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].cast("int").cast("string").alias("majority_100m"))
         return self.keep(clean, "lcz_clean") | self.keep(best, "buildings_lcz")
 

@@ -56,3 +56,11 @@ def test_spatial_joins_are_not_nested_loops(spark):
     for name in ("segment_self_intersection", "radius_join_mean", "zonal_multi_stats", "gap_fill_idw", "canyon_width"):
         plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["zonal_max"])
+def test_zones_are_never_broadcast_to_cells(spark, name):
+    # A ring has many cells, which Spark's estimate leaves out.
+    plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin [row#" in line and "Inner" in line]
+    assert joins and not [j for j in joins if "BuildLeft" in j]

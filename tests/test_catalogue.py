@@ -58,7 +58,7 @@ def test_spatial_joins_are_not_nested_loops(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
 
 
-@pytest.mark.parametrize("name", ["zonal_max", "width_pipeline", "zonal_majority"])
+@pytest.mark.parametrize("name", ["zonal_max", "width_pipeline", "zonal_majority", "zonal_multi_stats"])
 def test_zones_are_never_broadcast_to_cells(spark, name):
     # A ring has many cells, which Spark's estimate leaves out.
     plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

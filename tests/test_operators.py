@@ -205,3 +205,20 @@ def test_long_segments_enter_the_bins_that_they_pass(spark):
     assert features.walked(lines.filter("id = 500"), 10.0).count() <= 4 * 101  # of 101 x 101 bins of its box
     pairs = lambda size: sorted((r.id1, r.id2, round(r.x, 6), round(r.y, 6)) for r in features.segment_crossings(lines, size).collect())
     assert pairs(50.0) == pairs(7.0) == pairs(5000.0) and len(pairs(50.0)) > 100 and (500, 501, 500.0, 500.0) in pairs(50.0)
+
+
+def test_copies_of_segments_cross_once_and_count_for_every_id(spark):
+    draw = np.random.default_rng(9)
+    shapes = [tuple(map(float, draw.integers(0, 300, 4) + 0.3)) for _ in range(12)]
+    rows = [(k, *shapes[int(draw.integers(12))]) for k in range(200)]
+    lines = spark.createDataFrame(rows, "id int, x1 double, y1 double, x2 double, y2 double")
+
+    def crossing(a, b):
+        den = (a[3] - a[1]) * (b[4] - b[2]) - (a[4] - a[2]) * (b[3] - b[1])
+        t, u = (((b[1] - a[1]) * (c[4] - c[2]) - (b[2] - a[2]) * (c[3] - c[1])) / den for c in (b, a)) if den else (0.0, 0.0)
+        return (a[1] + t * (a[3] - a[1]), a[2] + t * (a[4] - a[2])) if 0 < t < 1 and 0 < u < 1 else None
+
+    wanted = sorted((a[0], b[0], *p) for a in rows for b in rows if a[0] < b[0] and (p := crossing(a, b)))
+    assert values(features.segment_crossings(lines, 40.0), "id1", "id2", "x", "y") == sorted(wanted, key=repr) and len(wanted) > 2000
+    points = values(features.crossing_points(lines, 40.0), "x", "y")
+    assert len(points) <= 12 * 11 and set(points) == {p[2:] for p in wanted}

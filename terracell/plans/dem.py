@@ -56,7 +56,7 @@ def road_terrain(surface: DataFrame, lines: DataFrame, res: float, north: float,
     result is empty.
     """
     ends = lines.select(F.explode(F.array(*[F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (1, 2)])).alias("p")).select("p.x", "p.y")
-    nodes = ends.unionByName(features.segment_crossings(lines, 160.0).select("x", "y")).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y")).distinct()
+    nodes = ends.unionByName(features.crossing_points(lines, 160.0)).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y")).distinct()
     seen = raster.sampled(nodes, surface, west, north, res).filter(F.col("v").isNotNull()).select("x", "y", "v")
     terrain = tin.triangulated(seen, west, north, res, ncol, nrow)
     return raster.subtracted(surface, terrain).select("row", "col", F.round("v", 4).alias("v"))

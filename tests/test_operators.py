@@ -222,3 +222,22 @@ def test_copies_of_segments_cross_once_and_count_for_every_id(spark):
     assert values(features.segment_crossings(lines, 40.0), "id1", "id2", "x", "y") == sorted(wanted, key=repr) and len(wanted) > 2000
     points = values(features.crossing_points(lines, 40.0), "x", "y")
     assert len(points) <= 12 * 11 and set(points) == {p[2:] for p in wanted}
+
+
+def test_search_fits_each_depth_and_rate_once_a_fold(spark, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.tuning import CrossValidator
+
+    rows = [(float(k % 11), "ab"[k % 2], float(k % 11 * 2 + 1)) for k in range(80)]
+    df = spark.createDataFrame(rows, "area double, class string, calc_height double").coalesce(1)
+    fits, fit = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, rows: fits.append(self.getMaxIter()) or fit(self, rows))
+    found = ml.tune(df, ["area"], ["class"], draws=6, folds=2, grid={"depth": [2], "iterations": [1, 2], "rate": [0.3]}).collect()
+    assert fits == [2, 2] and len(found) == 6 and {r.iterations for r in found} == {1, 2}
+    # As one by one, by cross-validation.
+    given = features.imputed_defaults(df, ["area", "calc_height"], ["class"]).persist()
+    for n in (1, 2):
+        pipe = ml.model_pipeline(["area"], ["class"], "calc_height", iterations=n, depth=2, rate=0.3)
+        wanted = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=RegressionEvaluator(labelCol="calc_height", metricName="rmse"), numFolds=2, seed=ml.SEED).fit(given).avgMetrics[0]
+        assert {round(r.rmse, 9) for r in found if r.iterations == n} == {round(wanted, 9)}

@@ -1,14 +1,16 @@
 """Nearest neighbours by inner product over sharded, robust-pruned directed graphs (as in DiskANN).
 
 Equal vectors are one point. Points are dealt by hash over shards; each shard
-builds its own graph: greedy searches from the medoid propose neighbours, and
+builds its own graph: the nearest points of the shard are proposed, and
 relaxed pruning keeps those that no kept neighbour is much closer to, so edges
-stay diverse. Shards hold points of about the same norm (a band of norms), so
+stay diverse. Edges lead both ways, so a point that is near to few others is
+still found. Shards hold points of about the same norm (a band of norms), so
 that within one the largest inner products are at the smallest angles, and the
 graph is over directions. A query beams through every shard's graph; scores
 are then taken exactly, in double precision. The recall of a beam falls with
 the points of its graph, so shards have a bounded number of points at every
-size, and a search task holds a shelf of many shards.
+size, and a search task holds a shelf of many shards. Only points that may be
+among a query's best so far are scored.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 
 from terracell.llm.shared import discard, written
 
-#: Edges of a point; beam while building and searching; relaxation in the last pass.
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 128, 1.2
+#: Near and far edges that a point chooses, and those it chooses among; relaxation of the pruning.
+DEGREE, FAR, PROPOSED, ALPHA = 48, 2, 72, 1.2
+#: Beam of a search, points of a beam that move at once, and points where searches enter.
+SEARCH_BEAM, WIDTH, ENTRIES = 32, 8, 32
 #: Points of a shard, on average at most; bytes of a shelf, about; shelves that a large enough table gets at least.
 SHARD_POINTS, SHELF_BYTES, SHELVES = 2_000, 64 << 20, 8
 #: Ratio of the norms in a band. Doubles have at most some 15,000 bands, which bounds their broadcast.
@@ -33,36 +37,54 @@ BATCH, TASK_QUERIES = 256, 100_000
 NEIGHBOURS = 20
 
 
-def _greedy(points: np.ndarray, graph: np.ndarray, start: int, targets: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, squared distances) of the beam's points by distance, for each target; -1 where there are fewer."""
-    n = len(targets)
-    ids = np.full((n, beam), -1, dtype=np.int64)
-    far = np.full((n, beam), np.inf, dtype=np.float32)
+def _greedy(points: np.ndarray, edges: tuple[np.ndarray, np.ndarray], entries: np.ndarray, targets: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, inner products) of the beam's points, nearest first, for each target; -1 where there are fewer. ``WIDTH`` points of a beam move at once."""
+    n, size = len(targets), len(points)
+    first, to = edges
+    count = np.diff(first)
+    beam = max(beam, len(entries))
+    ids = np.full((n, beam), -1, dtype=np.int32)
+    near = np.full((n, beam), -np.inf, dtype=np.float32)
     done = np.ones((n, beam), dtype=bool)
-    ids[:, 0], done[:, 0] = start, False
-    far[:, 0] = ((points[start] - targets) ** 2).sum(1)
+    ids[:, : len(entries)], near[:, : len(entries)], done[:, : len(entries)] = entries, targets @ points[entries].T, False
+    order = np.argsort(-near, axis=1, kind="stable")
+    ids, near, done = (np.take_along_axis(x, order, 1)[:, :beam] for x in (ids, near, done))
+    seen, stamp = np.zeros(n * size, dtype=bool), np.empty(n * size, dtype=np.int32)
+    seen[(np.arange(n)[:, None] * size + entries).ravel()] = True
     active = np.arange(n)
     while len(active):
-        own = np.where(done[active], np.inf, far[active])
-        best = own.argmin(1)
-        some = np.isfinite(own[np.arange(len(active)), best])
-        active, best = active[some], best[some]
-        if not len(active):
-            break
-        done[active, best] = True
-        near = graph[ids[active, best]]
-        known = (near[:, :, None] == ids[active][:, None, :]).any(2) | (near < 0)
-        d = ((points[near] - targets[active][:, None, :]) ** 2).sum(2)
-        d[known] = np.inf
-        all_ids = np.concatenate([ids[active], near], 1)
-        all_far = np.concatenate([far[active], d], 1)
-        all_done = np.concatenate([done[active], ~np.isfinite(d)], 1)
-        keep = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
-        ids[active] = np.take_along_axis(all_ids, keep, 1)
-        far[active] = np.take_along_axis(all_far, keep, 1)
-        done[active] = np.take_along_axis(all_done, keep, 1)
-    ids[~np.isfinite(far)] = -1
-    return ids, far
+        free = ~done[active]
+        row, place = np.nonzero(free & (np.cumsum(free, axis=1) <= WIDTH))
+        done[active[row], place] = True
+        at = ids[active[row], place]
+        some = count[at]
+        end = np.cumsum(some)
+        found = to[np.arange(end[-1]) - np.repeat(end - some - first[at], some)]
+        row = np.repeat(row, some)
+        cell = active[row] * size + found
+        fresh = ~seen[cell]
+        cell, found, row = cell[fresh], found[fresh], row[fresh]
+        stamp[cell] = np.arange(len(cell), dtype=np.int32)
+        once = stamp[cell] == np.arange(len(cell), dtype=np.int32)
+        cell, found, row = cell[once], found[once], row[once]
+        seen[cell] = True
+        if len(found):
+            some = np.bincount(row, minlength=len(active))
+            end = np.cumsum(some)
+            score = np.empty(len(found), dtype=np.float32)
+            for q, low, high in zip(active.tolist(), (end - some).tolist(), end.tolist(), strict=True):
+                np.dot(points.take(found[low:high], 0), targets[q], out=score[low:high])
+            column = np.arange(len(found)) - (end - some)[row]
+            more, more_ids = np.full((len(active), int(some.max())), -np.inf, dtype=np.float32), np.full((len(active), int(some.max())), -1, dtype=np.int32)
+            more[row, column], more_ids[row, column] = score, found
+            every = np.concatenate([near[active], more], 1)
+            keep = np.argpartition(-every, beam - 1, axis=1)[:, :beam]
+            keep = np.take_along_axis(keep, np.argsort(-np.take_along_axis(every, keep, 1), axis=1, kind="stable"), 1)
+            near[active] = np.take_along_axis(every, keep, 1)
+            ids[active] = np.take_along_axis(np.concatenate([ids[active], more_ids], 1), keep, 1)
+            done[active] = np.take_along_axis(np.concatenate([done[active], more_ids < 0], 1), keep, 1)
+        active = active[~done[active].all(1)]
+    return ids, near
 
 
 def _pruned(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, alpha: float) -> np.ndarray:
@@ -92,32 +114,32 @@ def _pruned(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, alpha:
     return found
 
 
-def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, int]:
-    """(neighbours by point, start) of the robust-pruned graph; deterministic."""
+def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first edge by point and the end, other ends, entries) of the robust-pruned graph of unit vectors, every edge both ways; deterministic."""
     n = len(points)
     random = np.random.default_rng(seed)
-    graph = random.integers(0, n, (n, DEGREE))
-    start = int(((points - points.mean(0)) ** 2).sum(1).argmin())
-    for alpha in (1.0, ALPHA):
-        order = random.permutation(n)
-        for low in range(0, n, BATCH):
-            own = order[low : low + BATCH]
-            near, _ = _greedy(points, graph, start, points[own], BUILD_BEAM)
-            graph[own] = _pruned(points, own, np.concatenate([near, graph[own]], 1), alpha)
-            source, target = np.repeat(own, DEGREE), graph[own].ravel()
-            source, target = source[target >= 0], target[target >= 0]
-            by = np.argsort(target, kind="stable")
-            source, target = source[by], target[by]
-            heads, first, count = np.unique(target, return_index=True, return_counts=True)
-            for some in np.array_split(np.argsort(count, kind="stable"), max(1, len(heads) // BATCH)):
-                if not len(some):
-                    continue
-                more = np.full((len(some), int(count[some].max())), -1, dtype=np.int64)
-                row = np.repeat(np.arange(len(some)), count[some])
-                place = np.arange(len(row)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
-                more[row, place] = source[np.repeat(first[some], count[some]) + place]
-                graph[heads[some]] = _pruned(points, heads[some], np.concatenate([graph[heads[some]], more], 1), alpha)
-    return graph, start
+    chosen = np.empty((n, DEGREE), dtype=np.int64)
+    for low in range(0, n, BATCH):
+        own = np.arange(low, min(n, low + BATCH))
+        most = min(PROPOSED, n)
+        near = np.argpartition(-(points[own] @ points.T), most - 1, axis=1)[:, :most]
+        chosen[own] = _pruned(points, own, near, ALPHA)
+    # Far edges are kept unpruned: near ones alone may leave clusters apart.
+    chosen = np.concatenate([chosen, random.integers(0, n, (n, FAR))], 1)
+    source, target = np.repeat(np.arange(n), chosen.shape[1]), chosen.ravel()
+    some = (target >= 0) & (target != source)
+    pairs = np.unique(np.concatenate([source[some] * n + target[some], target[some] * n + source[some]]))
+    first = np.searchsorted(pairs // n, np.arange(n + 1)).astype(np.int32)
+    # The most central point, then always the one farthest from all entries so far: one in every cluster, while they last.
+    entries = [int((points @ points.mean(0)).argmax())]
+    nearest = points @ points[entries[0]]
+    while len(entries) < min(ENTRIES, n):
+        entries.append(int(nearest.argmin()))
+        if nearest[entries[-1]] >= 1 - 1e-6:
+            entries.pop()
+            break
+        nearest = np.maximum(nearest, points @ points[entries[-1]])
+    return first, (pairs % n).astype(np.int32), np.array(entries, dtype=np.int32)
 
 
 def _directions(vectors: np.ndarray) -> np.ndarray:
@@ -162,16 +184,17 @@ def _build(table: pa.Table) -> pa.Table:
     for row, raw in enumerate(listed):
         kept = sorted(points[raw])[: NEIGHBOURS + 1]
         ids[row, : len(kept)] = kept
-    graph, start = build_graph(_directions(vectors))
+    first, to, entries = build_graph(_directions(vectors))
     one = table.slice(0, 1)
     return pa.table(
         {
             "dim": one.column("dim"),
             "shelf": one.column("shelf"),
             "shard": one.column("shard"),
-            "start": pa.array([start], pa.int64()),
+            "entries": pa.array([entries.tobytes()], pa.binary()),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
-            "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()),
+            "first": pa.array([first.tobytes()], pa.binary()),
+            "edges": pa.array([to.tobytes()], pa.binary()),
             "ids": pa.array([ids.tobytes()], pa.binary()),
         }
     )
@@ -187,7 +210,7 @@ def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
     none = np.iinfo(np.int64).max
     ids, scores = np.full((len(asked), NEIGHBOURS), none), np.full((len(asked), NEIGHBOURS), -np.inf)
     for shard in range(index.num_rows):
-        _search_shard({k: index.column(k)[shard].as_py() for k in ("dim", "start", "vectors", "graph", "ids")}, asked, own, ids, scores)
+        _search_shard({k: index.column(k)[shard].as_py() for k in ("dim", "entries", "vectors", "first", "edges", "ids")}, asked, own, ids, scores)
     row, place = np.nonzero(ids != none)
     return pa.table([asked[row], ids[row, place], scores[row, place]], schema=kind)
 
@@ -195,32 +218,46 @@ def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
 def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
     """Merges a shard's nearest into ids and scores, which hold each query's NEIGHBOURS best so far."""
     vectors = np.frombuffer(shard["vectors"], dtype="<f8").reshape(-1, shard["dim"])
-    graph = np.frombuffer(shard["graph"], dtype=np.int32).reshape(len(vectors), DEGREE).astype(np.int64)
+    edges = np.frombuffer(shard["first"], dtype=np.int32), np.frombuffer(shard["edges"], dtype=np.int32)
+    entries = np.frombuffer(shard["entries"], dtype=np.int32)
     held = np.frombuffer(shard["ids"], dtype=np.int64).reshape(len(vectors), NEIGHBOURS + 1)
-    points = _directions(vectors)
+    points, none = _directions(vectors), np.iinfo(np.int64).max
     for low in range(0, len(asked), BATCH):
         some = own[low : low + BATCH]
-        targets = _directions(some)
-        near, _ = _greedy(points, graph, shard["start"], targets, SEARCH_BEAM)
-        for k, q in enumerate(asked[low : low + BATCH].tolist(), low):
-            hit = near[k - low][near[k - low] >= 0]
-            score = (vectors[hit] * own[k]).sum(1)
-            candidate = np.concatenate([ids[k], held[hit].ravel()])
-            found = np.concatenate([scores[k], np.repeat(score, NEIGHBOURS + 1)])
-            fine = (candidate != np.iinfo(np.int64).max) & (candidate != q)
-            candidate, found = candidate[fine], found[fine]
-            best = np.lexsort((candidate, -found))
-            # Rows of one id may have several vectors; equal pairs lie side by side and count once.
-            once = np.ones(len(best), dtype=bool)
-            once[1:] = (candidate[best][1:] != candidate[best][:-1]) | (found[best][1:] != found[best][:-1])
-            best = best[once][:NEIGHBOURS]
-            ids[k, : len(best)], scores[k, : len(best)] = candidate[best], found[best]
+        near, _ = _greedy(points, edges, entries, _directions(some), SEARCH_BEAM)
+        row, place = np.nonzero(near >= 0)
+        point = near[row, place]
+        score = (vectors[point] * some[row]).sum(1)
+        best_ids, best = ids[low : low + BATCH], scores[low : low + BATCH]
+        may = score >= best[row, -1]  # a tie may have the smaller id
+        row, point, score = row[may], point[may], score[may]
+        if not len(row):
+            continue
+        fine = held[point] != none
+        candidate, found = held[point][fine], np.repeat(score, fine.sum(1))
+        row = np.repeat(row, fine.sum(1))
+        other = candidate != asked[low + row]
+        changed = np.unique(row[other])
+        if not len(changed):
+            continue
+        old = best_ids[changed] != none
+        old_row = np.repeat(changed, old.sum(1))
+        row, candidate, found = np.concatenate([row[other], old_row]), np.concatenate([candidate[other], best_ids[changed][old]]), np.concatenate([found[other], best[changed][old]])
+        by = np.lexsort((candidate, -found, row))
+        row, candidate, found = row[by], candidate[by], found[by]
+        # Rows of one id may have several vectors; equal pairs lie side by side and count once.
+        once = np.ones(len(row), dtype=bool)
+        once[1:] = (row[1:] != row[:-1]) | (candidate[1:] != candidate[:-1]) | (found[1:] != found[:-1])
+        row, candidate, found = row[once], candidate[once], found[once]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = rank < NEIGHBOURS
+        best_ids[row[kept], rank[kept]], best[row[kept], rank[kept]] = candidate[kept], found[kept]
 
 
 def dealt(total: int, dim: int = 64) -> tuple[int, int]:
     """(shelves, shards) for so many vectors of so many components: a point takes its vector, its edges and its ids."""
     least = max(1, min(SHELVES, -(-total // 1000)))
-    return max(least, -(-total * (8 * dim + 4 * DEGREE + 8 * (NEIGHBOURS + 1)) // SHELF_BYTES)), max(least, -(-total // SHARD_POINTS))
+    return max(least, -(-total * (8 * dim + 8 * (DEGREE + FAR) + 8 * (NEIGHBOURS + 1)) // SHELF_BYTES)), max(least, -(-total // SHARD_POINTS))
 
 
 def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -244,7 +281,7 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     points = rows.join(F.broadcast(sizes), "band").withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("shards"))).cast("int"))
     points = points.select("id", "shard", "vector").mapInArrow(_packed, "shard int, vector binary, ids array<long>")
     points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shelf": F.pmod("shard", F.lit(shelves)).cast("int")})
-    index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, start long, vectors binary, graph binary, ids binary"), "ann-index")
+    index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, entries binary, vectors binary, first binary, edges binary, ids binary"), "ann-index")
     discard(sizes)
 
     # Rows of one id that differ are one query: the least vector.

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terracell.llm.shared import discard, written
 
@@ -149,9 +150,13 @@ def _directions(vectors: np.ndarray) -> np.ndarray:
 
 def band(vector: str) -> Column:
     """The band of a vector's norm; norm 1 is in the middle of band 0."""
-    largest = F.array_max(F.transform(vector, F.abs))
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)))
-    return F.floor((F.log(largest) + F.log(norm)) / float(np.log(BAND)) + 0.5).cast("int")
+
+    def log_norm(largest: Column) -> Column:
+        return F.log(largest) + F.log(F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest))))
+
+    # An array of one binds the largest component, which would else be found again for every component.
+    norm = F.transform(F.array(F.array_max(F.transform(vector, F.abs))), log_norm)[0]
+    return F.floor(norm / float(np.log(BAND)) + 0.5).cast("int")
 
 
 def _usable(name: str) -> Column:
@@ -159,42 +164,57 @@ def _usable(name: str) -> Column:
     return F.col(name).isNotNull() & F.coalesce(whole, F.lit(False)) & F.exists(name, lambda x: x != 0)
 
 
+def _bytes(vectors: pa.ListArray) -> list[bytes]:
+    """Vectors in the floats of their own type, little-endian: floats stay half as long as doubles."""
+    kind = "<f4" if pa.types.is_float32(vectors.type.value_type) else "<f8"
+    return [x.values.to_numpy(zero_copy_only=False).astype(kind).tobytes() for x in vectors]
+
+
+def _doubles(packed: bytes, dim: int, rows: int) -> np.ndarray:
+    return np.frombuffer(packed, dtype=f"<f{len(packed) // (dim * rows)}").reshape(rows, dim).astype(np.float64)
+
+
+def _whole(points: int) -> str:
+    return "<u2" if points <= 1 << 16 else "<u4"
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Equal vectors of a batch as one row with its NEIGHBOURS + 1 smallest ids: a query needs no more of them."""
     for batch in batches:
         ids, shards = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         order = np.argsort(ids, kind="stable")
         points: dict[tuple[int, bytes], list[int]] = {}
-        rows = batch.column(2)
+        raws = _bytes(batch.column(2))
         for i in order.tolist():
-            raw = rows[i].values.to_numpy(zero_copy_only=False).astype("<f8").tobytes()
-            kept = points.setdefault((shards[i], raw), [])
+            kept = points.setdefault((shards[i], raws[i]), [])
             if len(kept) <= NEIGHBOURS and (not kept or kept[-1] != ids[i]):
                 kept.append(int(ids[i]))
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in points], pa.int32()), pa.array([v for _, v in points], pa.binary()), pa.array(list(points.values()), pa.list_(pa.int64()))], names=["shard", "vector", "ids"])
 
 
 def _build(table: pa.Table) -> pa.Table:
+    one = table.slice(0, 1)
+    dim = one.column("dim")[0].as_py()
     points: dict[bytes, set[int]] = {}
     for raw, ids in zip(table.column("vector").to_pylist(), table.column("ids").to_pylist(), strict=True):
         points.setdefault(raw, set()).update(ids)
     listed = sorted(points)
-    vectors = np.array([np.frombuffer(raw, dtype="<f8") for raw in listed])
+    packed = b"".join(listed)
+    vectors = _doubles(packed, dim, len(listed))
     ids = np.full((len(listed), NEIGHBOURS + 1), np.iinfo(np.int64).max, dtype=np.int64)
     for row, raw in enumerate(listed):
         kept = sorted(points[raw])[: NEIGHBOURS + 1]
         ids[row, : len(kept)] = kept
     first, to, entries = build_graph(_directions(vectors))
-    one = table.slice(0, 1)
     return pa.table(
         {
             "dim": one.column("dim"),
             "shelf": one.column("shelf"),
             "shard": one.column("shard"),
             "entries": pa.array([entries.tobytes()], pa.binary()),
-            "vectors": pa.array([vectors.tobytes()], pa.binary()),
+            "vectors": pa.array([packed], pa.binary()),
             "first": pa.array([first.tobytes()], pa.binary()),
-            "edges": pa.array([to.tobytes()], pa.binary()),
+            "edges": pa.array([to.astype(_whole(len(listed))).tobytes()], pa.binary()),
             "ids": pa.array([ids.tobytes()], pa.binary()),
         }
     )
@@ -206,7 +226,7 @@ def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
     if not index.num_rows or not queries.num_rows:
         return kind.empty_table()
     asked = queries.column("query_id").to_numpy()
-    own = np.array([np.frombuffer(x, dtype="<f8") for x in queries.column("vector").to_pylist()])
+    own = _doubles(b"".join(queries.column("vector").to_pylist()), index.column("dim")[0].as_py(), len(asked))
     none = np.iinfo(np.int64).max
     ids, scores = np.full((len(asked), NEIGHBOURS), none), np.full((len(asked), NEIGHBOURS), -np.inf)
     for shard in range(index.num_rows):
@@ -217,8 +237,9 @@ def _search(index: pa.Table, queries: pa.Table) -> pa.Table:
 
 def _search_shard(shard: dict, asked: np.ndarray, own: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
     """Merges a shard's nearest into ids and scores, which hold each query's NEIGHBOURS best so far."""
-    vectors = np.frombuffer(shard["vectors"], dtype="<f8").reshape(-1, shard["dim"])
-    edges = np.frombuffer(shard["first"], dtype=np.int32), np.frombuffer(shard["edges"], dtype=np.int32)
+    first = np.frombuffer(shard["first"], dtype=np.int32)
+    vectors = _doubles(shard["vectors"], shard["dim"], len(first) - 1)
+    edges = first, np.frombuffer(shard["edges"], dtype=_whole(len(vectors))).astype(np.int32)
     entries = np.frombuffer(shard["entries"], dtype=np.int32)
     held = np.frombuffer(shard["ids"], dtype=np.int64).reshape(len(vectors), NEIGHBOURS + 1)
     points, none = _directions(vectors), np.iinfo(np.int64).max
@@ -270,7 +291,8 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     least. An empty table gives an empty one. Every row is indexed: the graph
     is a written table, one row per shard.
     """
-    rows = df.filter(F.col(key).isNotNull() & _usable(vector)).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), is_query.alias("asks"))
+    kind, width = ("float", 4) if df.schema[vector].dataType.elementType == T.FloatType() else ("double", 8)
+    rows = df.filter(F.col(key).isNotNull() & _usable(vector)).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast(kind)).alias("vector"), is_query.alias("asks"))
     rows = written(rows.withColumn("band", band("vector")), "ann-rows")
     size = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size("vector")), F.lit(1)).alias("dim")).first()
     shelves, _ = dealt(size["rows"], size["dim"])
@@ -280,14 +302,14 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     sizes = written(sizes.withColumn("first", F.coalesce(F.sum("shards").over(before), F.lit(0))), "ann-bands")
     points = rows.join(F.broadcast(sizes), "band").withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("shards"))).cast("int"))
     points = points.select("id", "shard", "vector").mapInArrow(_packed, "shard int, vector binary, ids array<long>")
-    points = points.withColumns({"dim": F.floor(F.octet_length("vector") / 8).cast("int"), "shelf": F.pmod("shard", F.lit(shelves)).cast("int")})
+    points = points.withColumns({"dim": F.floor(F.octet_length("vector") / width).cast("int"), "shelf": F.pmod("shard", F.lit(shelves)).cast("int")})
     index = written(points.groupBy("dim", "shelf", "shard").applyInArrow(_build, "dim int, shelf int, shard int, entries binary, vectors binary, first binary, edges binary, ids binary"), "ann-index")
-    discard(sizes)
 
     # Rows of one id that differ are one query: the least vector.
-    asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(_binary, "query_id long, vector binary")
-    parts = max(1, -(-rows.filter("asks").count() // TASK_QUERIES))
-    asked = asked.select("query_id", "vector", F.floor(F.octet_length("vector") / 8).cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
+    asked = written(rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector")).mapInArrow(_binary, "query_id long, vector binary"), "ann-asked")
+    discard(sizes, rows)
+    parts = max(1, -(-asked.count() // TASK_QUERIES))
+    asked = asked.select("query_id", "vector", F.floor(F.octet_length("vector") / width).cast("int").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
     held = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     found = held.groupBy("dim", "shelf", "part").cogroup(asked.groupBy("dim", "shelf", "part")).applyInArrow(_search, "query_id long, vec_id long, score double")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -297,5 +319,4 @@ def neighbours(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str
 
 def _binary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = [x.values.to_numpy(zero_copy_only=False).astype("<f8").tobytes() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["query_id", "vector"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_bytes(batch.column(1)), pa.binary())], names=["query_id", "vector"])
